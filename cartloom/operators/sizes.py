@@ -1,0 +1,18 @@
+"""Broadcasting behind a size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 100_000
+
+
+def has_at_most(df: DataFrame, rows: int) -> bool:
+    """Whether ``df`` has no more than ``rows`` rows; counting stops one row beyond."""
+    return df.limit(rows + 1).count() <= rows
+
+
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast when the counted size allows it, else leave the join to Spark."""
+    return F.broadcast(df) if has_at_most(df, rows) else df

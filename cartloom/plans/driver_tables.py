@@ -23,6 +23,16 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core on a table stored in fewer splits than there are cores.
+
+    The small test tables are one split each; a table large enough to have splits for all
+    cores passes unchanged, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def ntz(text: str) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
@@ -56,12 +66,17 @@ def _stamp(entity: str) -> list[Column]:
     ]
 
 
+def _once(record: Column) -> Column:
+    """Pass a record through a generator, as a file scan would, so that it is built once."""
+    return F.explode(F.array(record)).alias(RECORD)
+
+
 def _bronze(rows: DataFrame, entity: str, record: Column) -> DataFrame:
-    """JSON text of each row, parsed and bound like a landed record."""
+    """Each row as a semi-structured record, bound like a landed one."""
     records = rows.select(
         F.concat(F.lit(f"raw/{entity}/"), F.col("load.day")).alias("_file"),
         F.col("load.step").cast("bigint").alias("_row_tag"),
-        F.parse_json(F.to_json(record)).alias(RECORD),
+        _once(F.to_variant_object(record)),
     )
     return split_rejects(bind_entity(records, ENTITY_SPECS[entity]))[0]
 
@@ -123,8 +138,9 @@ def cart_bronze(spark: SparkSession, sf: str) -> DataFrame:
     A cart holds ``o_orderkey % 4`` items made from the order itself (none, or no array at all
     for some), so a document has a fixed upper size and no rows are gathered to build it.
     """
-    rows = table(spark, sf, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderdate",
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    rows = spread(orders).select(
+        "*",
         _loads(
             ("run-1", "2024-01-01", 0), ("run-2", "2024-01-02", 1), ("run-2", "2024-01-03", 2)
         ),
@@ -164,7 +180,7 @@ EVENT_FIELDS = (
 
 def event_records(spark: SparkSession, sf: str) -> DataFrame:
     """``events`` as JSON text bound to bronze; every seventh value is not a number."""
-    events = table(spark, sf, "events")
+    events = spread(table(spark, sf, "events"))
     value = F.when(F.col("event_id") % 7 == 0, F.lit("x")).otherwise(F.col("value").cast("string"))
     record = F.struct(
         F.col("event_id").alias("id"),
@@ -177,7 +193,7 @@ def event_records(spark: SparkSession, sf: str) -> DataFrame:
     landed = events.select(
         "event_id",
         F.concat(F.lit("raw/events/"), F.col("event_type"), F.lit(".json")).alias("_file"),
-        F.parse_json(F.to_json(record)).alias(RECORD),
+        _once(F.parse_json(F.to_json(record))),
     )
     return bind_fields(landed, EVENT_FIELDS, keep=("event_id", "_file"))
 
@@ -245,8 +261,10 @@ def customer_history(spark: SparkSession, sf: str) -> DataFrame:
 
 def order_items(spark: SparkSession, sf: str) -> DataFrame:
     """``lineitem`` joined to its order, in the shape of the seed order items."""
-    items = table(spark, sf, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice"
+    items = spread(
+        table(spark, sf, "lineitem").select(
+            "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice"
+        )
     )
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     return items.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
@@ -270,13 +288,9 @@ def landed_paths(spark: SparkSession, sf: str) -> DataFrame:
 CUSTOMER_CHECKS = ("status", "large")
 
 
-def customer_log(spark: SparkSession, sf: str, run_time: Column) -> DataFrame:
-    """Customer state per run: the newest order of each customer within the run's span.
-
-    Customers without an order in a span are missing from that run. Every order belongs to
-    exactly one span.
-    """
-    log = table(spark, sf, "orders").select(
+def order_log(spark: SparkSession, sf: str, run_time: Column) -> DataFrame:
+    """``orders`` as customer state, with the time of the run that first sees each order."""
+    return table(spark, sf, "orders").select(
         F.col("o_custkey").alias("customer_id"),
         F.expr("nullif(o_orderstatus, 'P')").alias("status"),
         (F.col("o_totalprice") > 250000).alias("large"),
@@ -284,8 +298,25 @@ def customer_log(spark: SparkSession, sf: str, run_time: Column) -> DataFrame:
         F.col("o_orderdate").alias("ordered"),
         run_time.alias("run_at"),
     )
-    newest = [F.col("ordered").desc_nulls_last(), F.col("last_order").desc()]
-    return latest_per_key(log, ["customer_id", "run_at"], newest).drop("ordered")
+
+
+def newest_order() -> list[Column]:
+    return [F.col("ordered").desc_nulls_last(), F.col("last_order").desc()]
+
+
+def customer_log(log: DataFrame) -> DataFrame:
+    """Customer state per run: the newest order of each customer within the run's span.
+
+    Customers without an order in a span are missing from that run. Every order belongs to
+    exactly one span.
+    """
+    return latest_per_key(log, ["customer_id", "run_at"], newest_order()).drop("ordered")
+
+
+def customer_batch(log: DataFrame, end: str) -> DataFrame:
+    """One run of the log. Filtered before the dedup, so the rows leave it hashed by customer."""
+    span = log.filter(F.col("run_at") == ntz(end)).drop("run_at")
+    return latest_per_key(span, ["customer_id"], newest_order()).drop("ordered")
 
 
 def span_end(*ends: str) -> Column:

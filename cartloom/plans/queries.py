@@ -155,7 +155,7 @@ def stg_users(spark, sf):
 
 @query
 def cart_items_explode(spark, sf):
-    carts = given.table(spark, sf, "orders").select(
+    carts = given.spread(given.table(spark, sf, "orders").select("o_orderkey", "o_custkey")).select(
         "o_orderkey", F.parse_json(F.to_json(given.cart_items())).alias("products")
     )
     return explode_items(carts, "products").select(
@@ -177,14 +177,23 @@ def stg_carts(spark, sf):
 
 
 def _customer_fold(spark, sf, ends, hard_deletes):
-    log = given.customer_log(spark, sf, given.span_end(*ends))
-    runs = [
-        (given.ntz(end), log.filter(F.col("run_at") == given.ntz(end)).drop("run_at"))
-        for end in ends
-    ]
+    log = given.order_log(spark, sf, given.span_end(*ends))
+    runs = [(given.ntz(end), given.customer_batch(log, end)) for end in ends]
     return scd2_fold(runs, "customer_id", given.CUSTOMER_CHECKS, hard_deletes)
 
 
+def _customer_history(spark, sf, hard_deletes):
+    log = given.order_log(spark, sf, given.year_end())
+    return scd2_from_history(
+        given.customer_log(log),
+        "customer_id",
+        "run_at",
+        given.CUSTOMER_CHECKS,
+        hard_deletes,
+        batches=log.select("run_at"),
+    )
+
+
 @query
 def scd2_initial(spark, sf):
     return _customer_fold(spark, sf, ("2002-01-01",), True)
@@ -207,15 +216,13 @@ def scd2_reappear(spark, sf):
 
 @query
 def scd2_history(spark, sf):
-    log = given.customer_log(spark, sf, given.year_end())
-    return scd2_from_history(log, "customer_id", "run_at", given.CUSTOMER_CHECKS)
+    return _customer_history(spark, sf, True)
 
 
 @query
 def scd2_history_keep(spark, sf):
     """The same log when vanished keys stay open."""
-    log = given.customer_log(spark, sf, given.year_end())
-    return scd2_from_history(log, "customer_id", "run_at", given.CUSTOMER_CHECKS, hard_deletes=False)
+    return _customer_history(spark, sf, False)
 
 
 # --- dimensions ------------------------------------------------------------------------
