@@ -10,13 +10,15 @@ from pyspark.sql import functions as F
 
 
 def batch_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
-    """Records per entity and a ``total`` row, counted in one pass over each input."""
-    tagged = [df.select(F.lit(name).alias("entity")) for name, df in frames.items()]
-    stacked = reduce(DataFrame.unionAll, tagged)
-    counted = stacked.groupBy("entity").agg(F.count("*").alias("records"))
+    """Records per entity, 0 for an empty one, and a ``total`` row."""
+    counted = [
+        df.agg(F.count("*").alias("records")).select(F.lit(name).alias("entity"), "records")
+        for name, df in frames.items()
+    ]
     # One row per entity from here on.
     return (
-        counted.rollup("entity")
+        reduce(DataFrame.unionAll, counted)
+        .rollup("entity")
         .agg(F.sum("records").alias("records"))
         .select(F.coalesce("entity", F.lit("total")).alias("entity"), "records")
     )
