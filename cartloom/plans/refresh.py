@@ -14,6 +14,7 @@ from ..operators.quality import check_not_null, run_checks
 from ..schemas import ENTITY_SPECS, HISTORY_SPECS, REQUIRED_COLUMNS
 from ..sources.catalog import ensure_namespaces, publish_table, publish_view
 from ..sources.json_batches import read_bronze
+from ..sources.latest_store import LatestStore
 from ..sources.seed_csv import read_seed
 from ..sources.snapshot_store import SnapshotStore
 from ..streaming.ingest import ingest_new_files
@@ -48,11 +49,21 @@ def ingest(spark: SparkSession, lake: Lake, layout: str = "lines") -> dict[str,
     }
 
 
-def stage(spark: SparkSession, lake: Lake) -> None:
-    """Rebuild the staging tables from all of bronze."""
+def stage(spark: SparkSession, lake: Lake, incremental: bool = False) -> None:
+    """Rebuild the staging tables.
+
+    By default from all of bronze. ``incremental`` starts products and users from the latest
+    row per key of the previous run and reads only the batches ingested since; their history of
+    full extracts is not scanned again. Carts are keyed by run, so their staging table holds
+    every run and is always rebuilt.
+    """
     ensure_namespaces(spark)
     for table, (entity, model) in _STAGING.items():
-        publish_table(model(read_bronze(spark, entity, lake.root)), table, f"{lake.root}/tables")
+        if incremental and entity != "carts":
+            bronze = LatestStore(spark, lake.root, entity, ["id"]).advance()
+        else:
+            bronze = read_bronze(spark, entity, lake.root)
+        publish_table(model(bronze), table, f"{lake.root}/tables")
 
 
 def snapshot(spark: SparkSession, lake: Lake, now: datetime) -> None:
@@ -89,11 +100,15 @@ def check(spark: SparkSession, lake: Lake) -> dict[str, int]:
 
 
 def refresh(
-    spark: SparkSession, lake: Lake, now: datetime, layout: str = "lines"
+    spark: SparkSession,
+    lake: Lake,
+    now: datetime,
+    layout: str = "lines",
+    incremental: bool = False,
 ) -> dict[str, dict[str, int]]:
     """All steps in order. A failing step stops the run; rerun from that step."""
     loaded = ingest(spark, lake, layout)
-    stage(spark, lake)
+    stage(spark, lake, incremental)
     snapshot(spark, lake, now)
     publish(spark, lake)
     check(spark, lake)

@@ -27,6 +27,20 @@ def build_session(app: str = "cartloom", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def sized_for(shuffle_bytes: int, cores: int, target_bytes: int = 200 << 20) -> dict[str, str]:
+    """Partition settings for a cluster job whose largest shuffle moves ``shuffle_bytes``.
+
+    Shuffles start with partitions of about ``target_bytes`` (never fewer than two per core)
+    and AQE merges the small ones; scans are cut to the same size.
+    """
+    partitions = max(2 * cores, -(-shuffle_bytes // target_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_bytes),
+    }
+
+
 def local_session(cores: int = 8, app: str = "cartloom-local", **conf: str) -> SparkSession:
     """Single-JVM session for tests and the benchmark."""
     settings = {

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
+from .generations import Generations
+
 NAMESPACES = ("raw", "staging", "marts")
 
 
@@ -18,18 +18,23 @@ def publish_table(df: DataFrame, name: str, root: str) -> None:
     """Fully rebuild table ``name``, swapping it in only once it is completely written.
 
     Every rebuild goes to a folder of its own below ``root``; the catalog entry is pointed at
-    it last. A failed rebuild leaves the previous table, and ``df`` may read that table.
+    it last. A failed rebuild leaves the previous table, and ``df`` may read that table. The
+    replaced build stays for readers already planned on it; builds before it are deleted.
     """
     spark = df.sparkSession
-    location = f"{root}/{name.replace('.', '/')}/build={uuid.uuid4().hex}"
-    df.write.parquet(location)
-    if spark.catalog.tableExists(name):
-        if spark.table(name).dtypes == df.dtypes:
-            spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
-            spark.catalog.refreshTable(name)
-            return
-        spark.sql(f"DROP TABLE {name}")
-    spark.catalog.createTable(name, path=location, source="parquet", schema=df.schema)
+    builds = Generations(spark, f"{root}/{name.replace('.', '/')}")
+    commit = builds.last()
+    generation = commit[0] + 1 if commit else 1
+    location = builds.path(generation)
+    df.write.mode("overwrite").parquet(location)
+    builds.commit(generation, 0)
+    if spark.catalog.tableExists(name) and spark.table(name).dtypes == df.dtypes:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
+        spark.catalog.refreshTable(name)
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.catalog.createTable(name, path=location, source="parquet", schema=df.schema)
+    builds.drop_before(generation - 1)
 
 
 def publish_view(df: DataFrame, name: str) -> None:

@@ -104,8 +104,7 @@ def write_bronze(bound: DataFrame, entity: str, root: str, batch: str) -> dict[s
     return {name: int(value or 0) for name, value in metrics.get.items()}
 
 
-def read_bronze(spark: SparkSession, entity: str, root: str, rejects: bool = False) -> DataFrame:
-    """Loaded rows of every batch, or the rejected ones with their record and batch."""
+def _stored_bronze(spark: SparkSession, entity: str, root: str) -> DataFrame:
     schema = T.StructType(
         [
             *BRONZE[entity_spec(entity).name].fields,
@@ -114,10 +113,21 @@ def read_bronze(spark: SparkSession, entity: str, root: str, rejects: bool = Fal
             T.StructField("rejected", T.BooleanType()),
         ]
     )
-    stored = spark.read.schema(schema).parquet(bronze_path(root, entity))
+    return spark.read.schema(schema).parquet(bronze_path(root, entity))
+
+
+def bronze_batches(spark: SparkSession, entity: str, root: str) -> DataFrame:
+    """Loaded rows with the batch they came in; filters on ``batch`` prune folders."""
+    stored = _stored_bronze(spark, entity, root).filter("NOT rejected")
+    return stored.select(*BRONZE[entity].fieldNames(), "batch")
+
+
+def read_bronze(spark: SparkSession, entity: str, root: str, rejects: bool = False) -> DataFrame:
+    """Loaded rows of every batch, or the rejected ones with their record and batch."""
     if rejects:
-        return stored.filter("rejected").select("_file", "_row_tag", RECORD, "batch")
-    return stored.filter("NOT rejected").select(*BRONZE[entity].fieldNames())
+        stored = _stored_bronze(spark, entity, root).filter("rejected")
+        return stored.select("_file", "_row_tag", RECORD, "batch")
+    return bronze_batches(spark, entity, root).drop("batch")
 
 
 def load_bronze(

@@ -2,9 +2,8 @@
 
 Each run writes one generation: ``state=open`` holds all current versions, ``state=closed``
 only those closed by that run. The history as of generation N is the closed rows of every
-generation up to N plus the open rows of N, which is a partition filter. A generation counts
-only once its commit marker exists, so closing and inserting become visible together, and a
-run that died half-way is simply written again.
+generation up to N plus the open rows of N, which is a partition filter. Closing and inserting
+become visible together, with the commit of the generation.
 """
 
 from __future__ import annotations
@@ -17,38 +16,22 @@ from pyspark.sql import types as T
 
 from ..operators.scd2 import SYSTEM_COLUMNS, advance_open, first_versions
 from ..schemas import HistorySpec
+from .generations import Generations
 
 
 class SnapshotStore:
     def __init__(self, spark: SparkSession, root: str, spec: HistorySpec):
         self.spark = spark
-        self.root = root
         self.spec = spec
-
-    def _hadoop(self, path: str):
-        jvm_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return jvm_path.getFileSystem(self.spark._jsc.hadoopConfiguration()), jvm_path
-
-    def last_commit(self) -> tuple[int, int] | None:
-        """``(generation, run time in microseconds)`` of the newest committed run."""
-        fs, folder = self._hadoop(f"{self.root}/_commits")
-        if not fs.exists(folder):
-            return None
-        names = [entry.getPath().getName() for entry in fs.listStatus(folder)]
-        marks = [tuple(int(part) for part in n.split("-")) for n in names if n[0].isdigit()]
-        return max(marks) if marks else None
-
-    def _commit(self, generation: int, micros: int) -> None:
-        fs, marker = self._hadoop(f"{self.root}/_commits/{generation:06d}-{micros}")
-        fs.create(marker, False).close()
+        self.generations = Generations(spark, root)
 
     def read(self, state: str | None = None) -> DataFrame | None:
         """Committed history, or only its ``open`` part; None before the first run."""
-        commit = self.last_commit()
+        commit = self.generations.last()
         if commit is None:
             return None
         generation = F.lit(commit[0])
-        stored = self.spark.read.parquet(self.root)
+        stored = self.spark.read.parquet(self.generations.root)
         is_open = (F.col("state") == "open") & (F.col("gen") == generation)
         is_closed = (F.col("state") == "closed") & (F.col("gen") <= generation)
         wanted = is_open if state == "open" else (is_open | is_closed)
@@ -60,7 +43,7 @@ class SnapshotStore:
             raise ValueError("now must carry a time zone")
         utc = now.astimezone(timezone.utc)
         micros = int(utc.timestamp()) * 1_000_000 + utc.microsecond
-        commit = self.last_commit()
+        commit = self.generations.last()
         if commit and micros < commit[1]:
             raise ValueError("a run cannot be older than the last committed one")
 
@@ -79,7 +62,9 @@ class SnapshotStore:
             .withColumn("state", state)
             .write.mode("overwrite")
             .partitionBy("state")
-            .parquet(f"{self.root}/gen={generation}")
+            .parquet(self.generations.path(generation))
         )
-        self._commit(generation, micros)
+        self.generations.commit(generation, micros)
+        # The previous open rows stay for readers that already planned on them.
+        self.generations.drop_before(generation - 1, within="state=open")
         return generation

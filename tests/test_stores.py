@@ -26,7 +26,7 @@ def versions(store):
 
 def test_generations(spark, tmp_path):
     store = SnapshotStore(spark, str(tmp_path / "s"), SPEC)
-    assert store.read() is None and store.last_commit() is None
+    assert store.read() is None and store.generations.last() is None
     assert store.advance(batch(spark, (1, "x"), (2, "x")), T1) == 1
     assert store.advance(batch(spark, (1, "y")), T2) == 2
     assert store.advance(batch(spark, (1, "y"), (2, "z")), T3) == 3
@@ -50,12 +50,13 @@ def test_uncommitted_generation_is_invisible_and_rewritten(spark, tmp_path):
     store.advance(batch(spark, (1, "x")), T1)
     before = versions(store)
 
-    class Dies(SnapshotStore):
-        def _commit(self, generation, micros):
-            raise RuntimeError("lost driver")
+    def die(generation, mark):
+        raise RuntimeError("lost driver")
 
+    dying = SnapshotStore(spark, root, SPEC)
+    dying.generations.commit = die
     with pytest.raises(RuntimeError):
-        Dies(spark, root, SPEC).advance(batch(spark, (1, "y"), (5, "n")), T2)
+        dying.advance(batch(spark, (1, "y"), (5, "n")), T2)
     assert versions(store) == before
     assert store.advance(batch(spark, (1, "z")), T2) == 2
     assert versions(store) == sorted(map(repr, [(1, "x", "01", "02"), (1, "z", "02", None)]))
@@ -74,6 +75,15 @@ def test_same_run_twice_and_older_run(spark, tmp_path):
         store.advance(batch(spark, (1, "z")), datetime(2027, 1, 1))
 
 
+def test_old_open_rows_are_dropped_but_closed_ones_stay(spark, tmp_path):
+    store = SnapshotStore(spark, str(tmp_path / "s"), SPEC)
+    for n in range(4):
+        store.advance(batch(spark, (1, f"v{n}")), T1 + timedelta(days=n))
+    assert not (tmp_path / "s" / "gen=2" / "state=open").exists()
+    assert (tmp_path / "s" / "gen=3" / "state=open").exists()
+    assert rows(store.read(), "a") == [("v0",), ("v1",), ("v2",), ("v3",)]
+
+
 def test_table_rebuild_may_read_itself(spark, tmp_path):
     ensure_namespaces(spark)
     root, name = str(tmp_path), "staging.rebuild_me"
