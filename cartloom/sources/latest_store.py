@@ -38,17 +38,19 @@ class LatestStore:
         Stream batches are numbered, so the commit remembers how far it has come.
         """
         names = self.generations.children(f"{self.root}/bronze/{self.entity}")
-        ids = [int(n.removeprefix("batch=")) for n in names if n.startswith("batch=")]
+        batches = [n.removeprefix("batch=") for n in names if n.startswith("batch=")]
+        if not all(b.isdigit() for b in batches):
+            raise ValueError("incremental staging needs batches numbered by ingest_new_files")
+        ids = [int(b) for b in batches]
         newest = max(ids, default=-1)
         commit = self.generations.last()
         if commit and commit[1] >= newest:
             return self.read()
-        done = commit[1] if commit else -1
         arrived = bronze_batches(self.spark, self.entity, self.root).filter(
-            (F.col("batch") > f"{done:012d}") & (F.col("batch") <= f"{newest:012d}")
-            if commit
-            else F.col("batch") <= f"{newest:012d}"
+            F.col("batch") <= f"{newest:012d}"
         )
+        if commit:
+            arrived = arrived.filter(F.col("batch") > f"{commit[1]:012d}")
         rows = arrived.select(*BRONZE[self.entity].fieldNames())
         known = self.read()
         if known is not None:
