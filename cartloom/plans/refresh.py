@@ -1,19 +1,24 @@
-"""The daily run: ingest, stage, snapshot, publish, check. Steps share only table names."""
+"""The daily run: land, ingest, stage, snapshot, publish, check.
+
+Steps share only table and folder names, so each can be run again on its own.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import new_run_id
 from ..operators.aggregates import batch_counts
 from ..operators.quality import check_not_null, run_checks
-from ..schemas import ENTITY_SPECS, HISTORY_SPECS, REQUIRED_COLUMNS
+from ..operators.stamp import enrich
+from ..schemas import ENTITY_SPECS, HISTORY_SPECS, REQUIRED_COLUMNS, entity_spec
 from ..sources.catalog import ensure_namespaces, publish_table, publish_view
-from ..sources.json_batches import read_bronze
+from ..sources.json_batches import land_json, read_bronze
 from ..sources.latest_store import LatestStore
 from ..sources.seed_csv import read_seed
 from ..sources.snapshot_store import SnapshotStore
@@ -41,6 +46,24 @@ class Lake:
         return SnapshotStore(spark, f"{self.root}/snapshots/{name}", HISTORY_SPECS[name])
 
 
+def land(
+    frames: Mapping[str, DataFrame], lake: Lake, source: str, now: datetime, run_id: str | None = None
+) -> tuple[dict[str, str], str]:
+    """Stamp and land one extract of every entity; returns the locations and the run id.
+
+    All entities of a run share its id and instant. The locations can be handed to ``load_run``,
+    or left for ``ingest`` to find.
+    """
+    run_id = run_id or new_run_id()
+    for entity in frames:
+        entity_spec(entity)
+    locations = {
+        entity: land_json(enrich(df, entity, source, run_id, now), entity, lake.landing, now)
+        for entity, df in frames.items()
+    }
+    return locations, run_id
+
+
 def ingest(spark: SparkSession, lake: Lake, layout: str = "lines") -> dict[str, dict[str, int]]:
     """Load landed files not loaded before; returns the counts per entity."""
     return {

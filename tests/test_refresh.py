@@ -178,3 +178,32 @@ def test_refresh_after_each_ingested_batch(spark, lake):
     assert len(runs) == 1 and len(runs[0]) == 12
     fact = spark.table("fact_order_items")
     assert fact.filter(F.col("loaded_at").isNotNull()).count() == 1
+
+
+def test_landed_by_us_then_refreshed(spark, lake):
+    """Frames in, star out: the landing step writes what the ingestion step reads."""
+    products = spark.createDataFrame(
+        [(1, "bag", 10.0, (4.5, 9))],
+        "id long, title string, price double, rating struct<rate: double, count: int>",
+    ).withColumn("category", F.lit("bags"))
+    users = spark.createDataFrame(
+        [(5, "a@x", ("Ann", None))], "id long, email string, name struct<firstname: string, lastname: string>"
+    )
+    carts = spark.createDataFrame(
+        [(70, 5, "2026-03-01T12:00:00.000Z", [(1, 3)]), (71, 5, "2026-03-01T12:00:00.000Z", [])],
+        "id long, userId long, date string, products array<struct<productId: long, quantity: int>>",
+    )
+    frames = {"products": products, "users": users, "carts": carts}
+    locations, run_id = job.land(frames, lake, "shop", DAYS[0])
+    assert set(locations) == set(frames) and len(run_id) == 36
+
+    loaded = job.refresh(spark, lake, DAYS[0], incremental=True)
+    assert {e: c["loaded"] for e, c in loaded.items()} == {"products": 1, "users": 1, "carts": 2}
+    fact = spark.table("fact_order_items").filter("loaded_at IS NOT NULL").collect()
+    assert [(r.order_id, r.product_id, r.quantity, r.total_price) for r in fact] == [(70, 1, 3, 30.0)]
+    staged = spark.table("staging.stg_carts").first()
+    assert (staged.run_id, staged.source_system) == (run_id, "shop")
+    assert spark.table("dim_customer").select("first_name", "full_name").first() == ("Ann", None)
+    assert spark.table("staging.stg_products").select("rating_score", "rating_count").first() == (4.5, 9)
+    with pytest.raises(ValueError, match="unknown entity"):
+        job.land({"orders": products}, lake, "shop", DAYS[0])
