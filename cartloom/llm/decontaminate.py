@@ -150,6 +150,13 @@ def extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, names).filter(pa.array(ok))
 
 
+def _joined(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Left join on id and uid, null ids included."""
+    right = right.withColumnsRenamed({"id": "right_id", "uid": "right_uid"})
+    on = F.col("id").eqNullSafe(F.col("right_id")) & (F.col("uid") == F.col("right_uid"))
+    return left.join(right, on, "left").drop("right_id", "right_uid")
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document: n_words, n_hit, n_items, items_sha256, contaminated."""
     spark = docs.sparkSession
@@ -177,12 +184,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     shown = shown.join(owners, ["length", "print", "window"]).select("id", "uid", "item_id").distinct()
     shown = shown.groupBy("id", "uid").agg(F.array_sort(F.collect_list(F.col("item_id").cast("string"))).alias("items"))
 
-    same = lambda other: texts["id"].eqNullSafe(other["id"]) & (texts["uid"] == other["uid"])
-    out = texts.join(hit, same(hit), "left").join(shown, same(shown), "left")
+    out = _joined(_joined(texts, hit), shown)
     listed = F.coalesce("items", F.array().cast("array<string>"))
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     return out.select(
-        texts["id"].alias("doc_id"),
+        F.col("id").alias("doc_id"),
         "n_words",
         n_hit.alias("n_hit"),
         F.size(listed).cast("long").alias("n_items"),

@@ -157,7 +157,7 @@ def best_partners(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids = group["doc_id"].to_numpy()
         counts, sizes = _points(group)
         for who, point, bound in CountTree(counts, sizes).search(counts, sizes):
-            other = who != point
+            other = ids[who] != ids[point]
             who, point, bound = who[other], point[other], bound[other]
             # The best partner of each query by how far its bound exceeds the need.
             order = np.lexsort((point, -bound / needed(sizes[who], sizes[point]), who))
@@ -214,22 +214,22 @@ def near_duplicates(docs: DataFrame, tile: int = TILE) -> DataFrame:
     sets = ["n_shingles", "set_a", "set_b"]
     classes = table.where("n_shingles > 0").groupBy(*sets).agg(F.min("doc_id").alias("rep"))
     classes = written(classes)
-    points = table.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    points = points.select("doc_id", "n_shingles", "keys", "counts")
-
-    postings = points.select(F.explode("keys").alias("key"), "doc_id")
+    points = table.select("doc_id", "keys").join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+    postings = written(points.select(F.explode("keys").alias("key"), "doc_id"))
+    shared = postings.groupBy("key").count().where("count > 1").select("key")
+    members = written(postings.join(shared, "key"))
     hashed = F.xxhash64("doc_id")
-    blocks = postings.groupBy("key").agg(
+    blocks = members.groupBy("key").agg(
         F.count("*").alias("n"), F.bit_xor(hashed).alias("x"), F.sum(hashed.bitwiseAND(0x7FFFFFFF)).alias("y")
     )
-    blocks = blocks.where("n > 1").groupBy("n", "x", "y").agg(F.min("key").alias("key"))
+    blocks = blocks.groupBy("n", "x", "y").agg(F.min("key").alias("key"))
     blocks = blocks.select("key", F.ceil(F.col("n") / tile).cast("int").alias("tiles"))
     members = written(
-        postings.join(blocks, "key").withColumn("tile", F.pmod(F.hash("doc_id"), "tiles").cast("int"))
+        members.join(blocks, "key").withColumn("tile", F.pmod(F.hash("doc_id"), "tiles").cast("int"))
     )
     involved = members.select("doc_id").distinct()
-    vectors = written(table.select("doc_id", "n_shingles", "counts").dropDuplicates(["doc_id"]).join(involved, "doc_id", "left_semi"))
-    texts = written(docs.select("doc_id", "text").join(involved, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    vectors = written(table.select("doc_id", "n_shingles", "counts").join(involved, "doc_id", "left_semi"))
+    texts = written(docs.select("doc_id", "text").join(involved, "doc_id", "left_semi"))
 
     fan = max(2, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     dealt = members.join(vectors, "doc_id").select("key", "tile", "doc_id", "n_shingles", "counts")

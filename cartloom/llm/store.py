@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +24,9 @@ def written(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    # Shuffle files go when the driver's collector finds their plans unused; a job of many steps cannot wait for that.
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
