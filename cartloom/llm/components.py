@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import written
+from .store import dropped, written
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -37,7 +37,8 @@ def components(pairs: DataFrame, a: str, b: str) -> DataFrame:
         several = edges.groupBy("high").count().where("count > 1").select("high")
         if edges.select("high").join(lows, "high", "left_semi").unionByName(several).isEmpty():
             break
-        edges = written(_small_star(_large_star(edges)))
+        last, edges = edges, written(_small_star(_large_star(edges)))
+        dropped(last)
     roots = edges.select("low").distinct()
     return edges.select(F.col("high").alias("id"), F.col("low").alias("component")).unionByName(
         roots.select(F.col("low").alias("id"), F.col("low").alias("component"))

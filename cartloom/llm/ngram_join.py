@@ -6,7 +6,7 @@
    in that order, its first n - ceil(0.8 n) + 1 shingles. Two sets that link share one of these, so the
    postings of a shingle form a block, and each block has its own R-tree of count vectors. Documents
    with equal sets are one point. Blocks with the same members are searched once.
-3. Round one: each point takes its best partner in the tree of its block; the exact sets
+3. Round one: each point takes its best partner over the trees of its blocks; the exact sets
    decide, and links make components. Round two: blocks whose points are in several components are searched
    for every pair across components. Links inside a component cannot change it, so nothing is lost,
    and a large group of near copies does not turn into all its pairs.
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from .arrays import SPACED, U64, find_words, mix, row_slices, utf8, windows
 from .components import components
 from .rtree import CountTree, needed
-from .store import written
+from .store import dropped, written
 
 K = 5
 BUCKETS = 1 << 20
@@ -107,14 +107,14 @@ def index(docs: DataFrame) -> DataFrame:
                 keys = h[order][np.arange(len(h)) - bounds[row] < first].view(np.int64)
                 taken = np.r_[0, np.cumsum(n - (4 * n + 4) // 5 + (n > 0))]
                 cell = row * GROUPS + (mix(h ^ U64(77)) % U64(GROUPS)).astype(np.int64)
-                counts = np.bincount(cell, minlength=(high - low) * GROUPS).astype(np.uint32).tobytes()
+                counts = np.bincount(cell, minlength=(high - low) * GROUPS).reshape(-1, GROUPS)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(low, high - low),
                         pa.array(n),
                         *map(pa.array, sums),
                         pa.ListArray.from_arrays(pa.array(taken.astype(np.int32)), pa.array(keys)),
-                        pa.array([counts[i * 4 * GROUPS : (i + 1) * 4 * GROUPS] for i in range(high - low)], pa.binary()),
+                        pa.array([c.astype(np.min_scalar_type(m)).tobytes() for c, m in zip(counts, counts.max(1))], pa.binary()),
                     ],
                     ["doc_id", "n_shingles", "set_a", "set_b", "keys", "counts"],
                 )
@@ -146,7 +146,7 @@ def _groups(batches: Iterator[pd.DataFrame], by: list[str]) -> Iterator[pd.DataF
 
 
 def _points(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    counts = np.frombuffer(b"".join(group["counts"]), np.uint32).reshape(len(group), GROUPS)
+    counts = np.array([np.frombuffer(c, f"u{len(c) // GROUPS}") for c in group["counts"]])
     return counts, group["n_shingles"].to_numpy(np.int64)
 
 
@@ -160,10 +160,10 @@ def best_partners(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             other = ids[who] != ids[point]
             who, point, bound = who[other], point[other], bound[other]
             # The best partner of each query by how far its bound exceeds the need.
-            order = np.lexsort((point, -bound / needed(sizes[who], sizes[point]), who))
+            score = bound / needed(sizes[who], sizes[point])
+            order = np.lexsort((point, -score, who))
             first = order[np.r_[True, np.diff(who[order]) != 0]] if len(order) else order
-            a, b = ids[who[first]], ids[point[first]]
-            yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
+            yield pd.DataFrame({"doc_id": ids[who[first]], "partner": ids[point[first]], "score": score[first]})
 
 
 def across_components(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -217,16 +217,18 @@ def near_duplicates(docs: DataFrame, tile: int = TILE) -> DataFrame:
     points = table.select("doc_id", "keys").join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
     postings = written(points.select(F.explode("keys").alias("key"), "doc_id"))
     shared = postings.groupBy("key").count().where("count > 1").select("key")
-    members = written(postings.join(shared, "key"))
+    together = written(postings.join(shared, "key"))
+    dropped(postings)
     hashed = F.xxhash64("doc_id")
-    blocks = members.groupBy("key").agg(
+    blocks = together.groupBy("key").agg(
         F.count("*").alias("n"), F.bit_xor(hashed).alias("x"), F.sum(hashed.bitwiseAND(0x7FFFFFFF)).alias("y")
     )
     blocks = blocks.groupBy("n", "x", "y").agg(F.min("key").alias("key"))
     blocks = blocks.select("key", F.ceil(F.col("n") / tile).cast("int").alias("tiles"))
     members = written(
-        members.join(blocks, "key").withColumn("tile", F.pmod(F.hash("doc_id"), "tiles").cast("int"))
+        together.join(blocks, "key").withColumn("tile", F.pmod(F.hash("doc_id"), "tiles").cast("int"))
     )
+    dropped(together)
     involved = members.select("doc_id").distinct()
     vectors = written(table.select("doc_id", "n_shingles", "counts").join(involved, "doc_id", "left_semi"))
     texts = written(docs.select("doc_id", "text").join(involved, "doc_id", "left_semi"))
@@ -234,7 +236,9 @@ def near_duplicates(docs: DataFrame, tile: int = TILE) -> DataFrame:
     fan = max(2, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     dealt = members.join(vectors, "doc_id").select("key", "tile", "doc_id", "n_shingles", "counts")
     first = dealt.repartition(fan, "key", "tile").sortWithinPartitions("key", "tile")
-    first = first.mapInPandas(best_partners, "a long, b long").distinct()
+    first = first.mapInPandas(best_partners, "doc_id long, partner long, score double")
+    first = first.groupBy("doc_id").agg(F.max_by("partner", F.struct("score", "partner")).alias("partner"))
+    first = first.select(F.least("doc_id", "partner").alias("a"), F.greatest("doc_id", "partner").alias("b")).distinct()
     links = written(verified(first, texts))
     parts = written(components(links, "a", "b"))
 
@@ -252,9 +256,11 @@ def near_duplicates(docs: DataFrame, tile: int = TILE) -> DataFrame:
     second = second.select("key", "left", "right", "tile", "doc_id", "component", "n_shingles", "counts")
     second = second.repartition(fan, "key", "left", "right").sortWithinPartitions("key", "left", "right")
     second = second.mapInPandas(across_components, "a long, b long").distinct()
-    links = links.unionByName(verified(second, texts))
+    more = written(links.unionByName(verified(second, texts)))
+    dropped(members, vectors, texts, links, parts)
 
-    parts = components(links, "a", "b")
+    parts = components(more, "a", "b")
+    dropped(more)
     classes = classes.join(parts, F.col("rep") == F.col("id"), "left")
     classes = classes.select(*sets, F.coalesce("component", "rep").alias("component"))
     out = table.select("doc_id", *sets).join(classes, sets, "left")
