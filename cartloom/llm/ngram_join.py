@@ -6,11 +6,11 @@
    in that order, its first n - ceil(0.8 n) + 1 shingles. Two sets that link share one of these, so the
    postings of a shingle form a block, and each block has its own R-tree of count vectors. Documents
    with equal sets are one point. Blocks with the same members are searched once.
-3. Round one: each point takes its best partner over the trees of its blocks; the exact sets
-   decide, and links make components. Round two: blocks whose points are in several components are searched
-   for every pair across components. Links inside a component cannot change it, so nothing is lost,
-   and a large group of near copies does not turn into all its pairs.
-Blocks of more than TILE points are dealt to tiles (round one) and pairs of tiles (round two).
+3. In a turn, each point takes its best partner of another component over the trees of its blocks; the
+   exact sets decide, and links join components. After TURNS turns, or one without a link, blocks
+   that still hold several components are searched for every pair across them. Links inside a
+   component cannot change it, so nothing is lost, and near copies are not turned into all their pairs.
+Blocks of more than TILE points are dealt to tiles, anew each turn, and at the end to all pairs of tiles.
 
 Null or wordless text has an empty set and links with nothing. Rows with the same doc_id are
 treated as copies of that id. Other columns are not read; an empty table gives no rows.
@@ -28,13 +28,14 @@ from pyspark.sql import functions as F
 
 from .arrays import SPACED, U64, find_words, mix, row_slices, utf8, windows
 from .components import components
-from .rtree import CountTree, needed
+from .rtree import FAN_OUT, CountTree, needed
 from .store import dropped, written
 
 K = 5
 BUCKETS = 1 << 20
 GROUPS = 128
 TILE = 2048
+TURNS = 4
 
 INDEX = "doc_id long, n_shingles long, set_a long, set_b long, keys array<long>, counts binary"
 
@@ -122,62 +123,69 @@ def index(docs: DataFrame) -> DataFrame:
     return written(docs.select("doc_id", "text").mapInArrow(run, INDEX))
 
 
-def _groups(batches: Iterator[pd.DataFrame], by: list[str]) -> Iterator[pd.DataFrame]:
-    """Whole groups out of batches that are sorted by `by`."""
-    held: list[pd.DataFrame] = []
+def _whole_groups(batches: Iterator[pd.DataFrame], by: list[str]) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
+    """Frames of whole groups with the groups' first rows and the end, out of batches sorted by `by`."""
+    held = None
     for batch in batches:
-        while len(batch):
-            head = batch[by].iloc[0]
-            same = (batch[by] == head).all(axis=1).to_numpy()
-            if held and not (held[0][by].iloc[0] == head).all():
-                yield pd.concat(held) if len(held) > 1 else held[0]
-                held = []
-            if same.all():
-                held.append(batch)
-                break
-            edges = np.flatnonzero((batch[by] != batch[by].shift()).any(axis=1).to_numpy())
-            parts = [batch.iloc[i:j] for i, j in zip(edges, [*edges[1:], len(batch)])]
-            parts[0] = pd.concat([*held, parts[0]]) if held else parts[0]
-            held = [parts.pop()]
-            yield from parts
-            break
-    if held:
-        yield pd.concat(held) if len(held) > 1 else held[0]
+        batch = pd.concat([held, batch], ignore_index=True) if held is not None else batch
+        if not len(batch):
+            continue
+        keys = batch[by].to_numpy()
+        edges = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(axis=1)])
+        if edges[-1]:
+            yield batch.iloc[: edges[-1]], edges
+        held = batch.iloc[edges[-1] :]
+    if held is not None:
+        yield held, np.array([0, len(held)])
 
 
-def _points(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    counts = np.array([np.frombuffer(c, f"u{len(c) // GROUPS}") for c in group["counts"]])
-    return counts, group["n_shingles"].to_numpy(np.int64)
+def candidates(frame: pd.DataFrame, edges: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(i, j, bound): rows of one group, in different components, whose overlap bound reaches what they need.
+
+    A group that fits one leaf is a tree of one node: all such groups of the frame are searched together.
+    """
+    counts = np.array([np.frombuffer(c, f"u{len(c) // GROUPS}") for c in frame["counts"]])
+    sizes, part, tile = (frame[c].to_numpy() for c in ("n_shingles", "component", "tile"))
+    length = np.diff(edges)
+    small = length <= FAN_OUT
+    end = np.repeat(np.where(small, edges[1:], 0), length)
+    for step in range(1, int(length[small].max(initial=1))):
+        i = np.flatnonzero(np.arange(len(frame)) + step < end)
+        j = i + step
+        apart = part[i] != part[j]
+        i, j = i[apart], j[apart]
+        bound = np.minimum(counts[i], counts[j]).sum(1, dtype=np.int64)
+        ok = bound >= needed(sizes[i], sizes[j])
+        yield i[ok], j[ok], bound[ok]
+    for low, high in zip(edges[:-1][~small], edges[1:][~small]):
+        if (part[low:high] == part[low]).all():
+            continue
+        tree = CountTree(counts[low:high], sizes[low:high])
+        two = tile[low:high].min() != tile[low:high].max()
+        for i, j, bound in tree.search(counts[low:high], sizes[low:high]):
+            i, j = i + low, j + low
+            ok = (i < j) & (part[i] != part[j]) & ((tile[i] != tile[j]) | (not two))
+            yield i[ok], j[ok], bound[ok]
 
 
 def best_partners(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for group in _groups(batches, ["key", "tile"]):
-        if len(group) < 2:
-            continue
-        ids = group["doc_id"].to_numpy()
-        counts, sizes = _points(group)
-        for who, point, bound in CountTree(counts, sizes).search(counts, sizes):
-            other = ids[who] != ids[point]
-            who, point, bound = who[other], point[other], bound[other]
-            # The best partner of each query by how far its bound exceeds the need.
-            score = bound / needed(sizes[who], sizes[point])
-            order = np.lexsort((point, -score, who))
-            first = order[np.r_[True, np.diff(who[order]) != 0]] if len(order) else order
-            yield pd.DataFrame({"doc_id": ids[who[first]], "partner": ids[point[first]], "score": score[first]})
-
-
-def across_components(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for group in _groups(batches, ["key", "left", "right"]):
-        ids, part, tile = (group[c].to_numpy() for c in ("doc_id", "component", "tile"))
-        counts, sizes = _points(group)
-        left, right = group["left"].iloc[0], group["right"].iloc[0]
-        mine, other = np.flatnonzero(tile == left), np.flatnonzero(tile == right)
-        if not len(mine) or not len(other):
-            continue
-        for who, point, _ in CountTree(counts[other], sizes[other]).search(counts[mine], sizes[mine]):
-            who, point = mine[who], other[point]
-            apart = part[who] != part[point]
-            a, b = ids[who[apart]], ids[point[apart]]
+    """For each point its best partner in another component, by how far the bound exceeds the need."""
+    for frame, edges in _whole_groups(batches, ["key", "left", "right"]):
+        ids, sizes = frame["doc_id"].to_numpy(), frame["n_shingles"].to_numpy()
+        for i, j, bound in candidates(frame, edges):
+            score = bound / needed(sizes[i], sizes[j])
+            i, j, score = np.r_[i, j], np.r_[j, i], np.r_[score, score]
+            order = np.lexsort((ids[j], -score, ids[i]))
+            if len(order):
+                first = order[np.r_[True, np.diff(ids[i][order]) != 0]]
+                yield pd.DataFrame({"doc_id": ids[i[first]], "partner": ids[j[first]], "score": score[first]})
+
+
+def all_partners(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for frame, edges in _whole_groups(batches, ["key", "left", "right"]):
+        ids = frame["doc_id"].to_numpy()
+        for i, j, _ in candidates(frame, edges):
+            a, b = ids[i], ids[j]
             yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
 
 
@@ -208,6 +216,37 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
+def _dealt(members: DataFrame, vectors: DataFrame, parts: DataFrame | None, turn: int | None) -> DataFrame:
+    """Points of blocks with several components, whole tiles together and sorted: the tiles of a turn, or all pairs of tiles."""
+    if parts is None:
+        members = members.withColumn("component", F.col("doc_id"))
+    else:
+        members = members.join(parts.withColumnRenamed("id", "doc_id"), "doc_id", "left")
+        members = members.withColumn("component", F.coalesce("component", "doc_id"))
+        mixed = members.groupBy("key").agg(F.min("component").alias("c"), F.max("component").alias("d"))
+        members = members.join(mixed.where("c < d").select("key"), "key", "left_semi")
+    tile = F.pmod(F.hash("doc_id", F.lit(turn or 0)), "tiles").cast("int")
+    members = members.withColumn("tile", tile)
+    if turn is None:
+        every = F.transform(
+            F.sequence(F.lit(0), F.col("tiles") - 1),
+            lambda t: F.struct(F.least(t, "tile").alias("left"), F.greatest(t, "tile").alias("right")),
+        )
+        members = members.select("key", "tile", "doc_id", "component", F.inline(every))
+    else:
+        members = members.withColumns({"left": F.col("tile"), "right": F.col("tile")})
+    fan = max(2, int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rows = members.join(vectors, "doc_id")
+    rows = rows.select("key", "left", "right", "tile", "doc_id", "component", "n_shingles", "counts")
+    return rows.repartition(fan, "key", "left", "right").sortWithinPartitions("key", "left", "right")
+
+
+def _one_each(rows: DataFrame) -> DataFrame:
+    best = rows.mapInPandas(best_partners, "doc_id long, partner long, score double").groupBy("doc_id")
+    best = best.agg(F.max_by("partner", F.struct("score", "partner")).alias("partner"))
+    return best.select(F.least("doc_id", "partner").alias("a"), F.greatest("doc_id", "partner").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, tile: int = TILE) -> DataFrame:
     """doc_id, n_shingles and component_id of every document."""
     table = index(docs)
@@ -225,38 +264,24 @@ def near_duplicates(docs: DataFrame, tile: int = TILE) -> DataFrame:
     )
     blocks = blocks.groupBy("n", "x", "y").agg(F.min("key").alias("key"))
     blocks = blocks.select("key", F.ceil(F.col("n") / tile).cast("int").alias("tiles"))
-    members = written(
-        together.join(blocks, "key").withColumn("tile", F.pmod(F.hash("doc_id"), "tiles").cast("int"))
-    )
+    members = written(together.join(blocks, "key"))
     dropped(together)
     involved = members.select("doc_id").distinct()
     vectors = written(table.select("doc_id", "n_shingles", "counts").join(involved, "doc_id", "left_semi"))
     texts = written(docs.select("doc_id", "text").join(involved, "doc_id", "left_semi"))
 
-    fan = max(2, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    dealt = members.join(vectors, "doc_id").select("key", "tile", "doc_id", "n_shingles", "counts")
-    first = dealt.repartition(fan, "key", "tile").sortWithinPartitions("key", "tile")
-    first = first.mapInPandas(best_partners, "doc_id long, partner long, score double")
-    first = first.groupBy("doc_id").agg(F.max_by("partner", F.struct("score", "partner")).alias("partner"))
-    first = first.select(F.least("doc_id", "partner").alias("a"), F.greatest("doc_id", "partner").alias("b")).distinct()
-    links = written(verified(first, texts))
+    links = written(verified(_one_each(_dealt(members, vectors, None, 0)), texts))
+    for turn in range(1, TURNS):
+        parts = written(components(links, "a", "b"))
+        found = written(verified(_one_each(_dealt(members, vectors, parts, turn)), texts))
+        last, links = links, written(links.unionByName(found))
+        done = found.isEmpty()
+        dropped(last, parts, found)
+        if done:
+            break
     parts = written(components(links, "a", "b"))
-
-    labelled = members.join(parts, F.col("doc_id") == F.col("id"), "left").select(
-        "key", "tiles", "tile", "doc_id", F.coalesce("component", "doc_id").alias("component")
-    )
-    mixed = labelled.groupBy("key").agg(F.min("component").alias("c"), F.max("component").alias("d")).where("c < d")
-    labelled = labelled.join(mixed.select("key"), "key", "left_semi")
-    every = F.transform(
-        F.sequence(F.lit(0), F.col("tiles") - 1),
-        lambda t: F.struct(F.least(t, F.col("tile")).alias("left"), F.greatest(t, F.col("tile")).alias("right")),
-    )
-    labelled = labelled.select("key", "tile", "doc_id", "component", F.inline(every))
-    second = labelled.join(vectors, "doc_id")
-    second = second.select("key", "left", "right", "tile", "doc_id", "component", "n_shingles", "counts")
-    second = second.repartition(fan, "key", "left", "right").sortWithinPartitions("key", "left", "right")
-    second = second.mapInPandas(across_components, "a long, b long").distinct()
-    more = written(links.unionByName(verified(second, texts)))
+    rest = _dealt(members, vectors, parts, None).mapInPandas(all_partners, "a long, b long").distinct()
+    more = written(links.unionByName(verified(rest, texts)))
     dropped(members, vectors, texts, links, parts)
 
     parts = components(more, "a", "b")
