@@ -33,9 +33,9 @@ from .store import dropped, written
 
 K = 5
 BUCKETS = 1 << 20
-GROUPS = 128
+GROUPS = 512
 TILE = 2048
-TURNS = 4
+TURNS = 2
 
 INDEX = "doc_id long, n_shingles long, set_a long, set_b long, keys array<long>, counts binary"
 
