@@ -15,7 +15,7 @@ doc_id keep separate pieces. Empty tables give no rows; other columns are not re
 
 from __future__ import annotations
 
-import re
+import json
 import zlib
 from collections.abc import Iterator
 
@@ -31,12 +31,11 @@ CAPACITY = 1024
 SLACK = 20
 SHORT = 48
 SEPARATOR = 0
-CACHED_WORDS = 400_000
 
 PIECES = "doc_id long, row long, start long, length int, ids_crc32 long, doc_tokens long, class int"
 
-_ADJACENT_SPACE = re.compile(r"\s\s")
-_WORD = re.compile(r" [^ \n]*|\n|[^ \n]+")
+#: How byte-level BPE files split text before merging.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def cuts(n: int) -> list[int]:
@@ -51,69 +50,44 @@ def cuts(n: int) -> list[int]:
     return out
 
 
-class WordTokenizer:
-    """Ids of whole texts, from ids of their words that are kept between texts.
+class FastTokenizer:
+    """The ids of a byte-level BPE file of the tokenizers library, by tiktoken's faster merging of the same vocabulary.
 
-    The vocabulary's pattern never joins what stands before a single white space between two other characters
-    with what follows, so such texts are encoded word by word. Texts with adjacent white space are
-    encoded whole.
+    In such a vocabulary ids are merge ranks. Texts that hold a special token's string are left to tokenizers.
     """
 
     def __init__(self, path: str):
+        import tiktoken
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.forget()
-
-    def forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.start, self.length = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
-        self.ids, self.used = np.zeros(1 << 18, np.uint32), 0
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def learn(self, words: list[str]) -> None:
-        for word, ids in zip(words, self.encode(words)):
-            k = len(self.known)
-            if k == len(self.start):
-                self.start, self.length = np.r_[self.start, self.start], np.r_[self.length, self.length]
-            while self.used + len(ids) > len(self.ids):
-                self.ids = np.r_[self.ids, self.ids]
-            self.start[k], self.length[k] = self.used, len(ids)
-            self.ids[self.used : self.used + len(ids)] = ids
-            self.used += len(ids)
-            self.known[word] = k
-
-    def texts(self, texts: list[str]) -> Iterator[np.ndarray]:
-        split = [None if _ADJACENT_SPACE.search(t) else _WORD.findall(t) for t in texts]
-        if len(self.known) > CACHED_WORDS:
-            self.forget()
-        new = {w for words in split if words for w in words}.difference(self.known)
-        self.learn(sorted(new))
-        for text, words in zip(texts, split):
-            if words is None:
-                yield np.array(self.encode([text])[0], np.uint32)
-                continue
-            at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-            n = self.length[at]
-            shift = np.repeat(self.start[at] - np.r_[0, np.cumsum(n)[:-1]], n)
-            yield self.ids[np.arange(len(shift)) + shift]
-
-
-_tokenizers: dict[str, WordTokenizer] = {}
+        self.slow = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as file:
+            given = json.load(file)
+        self.special = [t["content"] for t in given["added_tokens"]]
+        plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+        spelled = {chr(b): b for b in plain}
+        spelled |= {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in plain)}
+        ranks = {bytes(map(spelled.__getitem__, t)): i for t, i in given["model"]["vocab"].items() if t not in self.special}
+        self.fast = tiktoken.Encoding("bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def encode(self, text: str) -> np.ndarray:
+        if any(s in text for s in self.special):
+            return np.array(self.slow.encode(text, add_special_tokens=False).ids, np.uint32)
+        return self.fast.encode_to_numpy(text, disallowed_special=())
+
+
+_tokenizers: dict[str, FastTokenizer] = {}
 
 
 def pieces(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _tokenizers.setdefault(tokenizer_path, WordTokenizer(tokenizer_path))
+        tokenizer = _tokenizers.get(tokenizer_path) or _tokenizers.setdefault(tokenizer_path, FastTokenizer(tokenizer_path))
         for batch in batches:
             for low in range(0, batch.num_rows, 256):
                 part = batch.slice(low, 256)
                 rows, out = [], []
-                texts = [t or "" for t in part.column(2).to_pylist()]
-                for i, ids in enumerate(tokenizer.texts(texts)):
-                    ids = np.append(ids, np.uint32(SEPARATOR)).astype("<u4")
+                for i, text in enumerate(part.column(2).to_pylist()):
+                    ids = np.append(tokenizer.encode(text or ""), np.uint32(SEPARATOR)).astype("<u4")
                     at = 0
                     for n in cuts(len(ids)):
                         rows.append(i)

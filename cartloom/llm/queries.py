@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, ngram_join, packing, personal_data, quality
+from . import decontaminate, licenses, ngram_join, packing, personal_data, quality, sharding
 from .store import table
 
 
@@ -12,6 +12,14 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(table(spark, sf_dir, "documents"))
+
+
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -34,5 +42,13 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_personal_data, op3_packing, op4_ngram_join, op5_quality_rules, op6_decontamination)}
+QUERIES = {f.__name__: f for f in (
+    op1_personal_data,
+    op2_license_scan,
+    op3_packing,
+    op4_ngram_join,
+    op5_quality_rules,
+    op6_decontamination,
+    op9_sharding,
+)}
 ORACLES: dict[str, str] = {}
