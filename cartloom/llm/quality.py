@@ -165,3 +165,18 @@ def quality_rules(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
                 )
 
     return docs.select("doc_id", "text").mapInArrow(run, COLUMNS)
+
+
+def good_documents(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """The documents that the rules keep, with all their columns."""
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = utf8(batch.column(at))
+            for low, high in row_slices(offsets):
+                part = offsets[low : high + 1]
+                kept = judge(data[part[0] : part[-1]], part - part[0], rules)["kept"]
+                yield batch.slice(low, high - low).filter(pa.array(kept))
+
+    return docs.mapInArrow(run, docs.schema)

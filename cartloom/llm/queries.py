@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, licenses, ngram_join, packing, personal_data, quality, sharding
+from . import decontaminate, html_text, licenses, ngram_join, packing, personal_data, quality, secrets, sharding, suffix_dedup
 from .store import table
 
 
@@ -16,6 +16,18 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_scan(table(spark, sf_dir, "documents"))
+
+
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
@@ -49,6 +61,9 @@ QUERIES = {f.__name__: f for f in (
     op4_ngram_join,
     op5_quality_rules,
     op6_decontamination,
+    op7_suffix_dedup,
+    op8_secret_scan,
     op9_sharding,
+    op10_html_extraction,
 )}
 ORACLES: dict[str, str] = {}
