@@ -169,11 +169,13 @@ def suffix_array(text: np.ndarray, depth: int = LENGTH) -> np.ndarray:
 
 def same_prefix(text: np.ndarray, a: np.ndarray, b: np.ndarray, length: int = LENGTH) -> np.ndarray:
     """Whether the common prefix of suffixes a[i] and b[i] has at least `length` bytes."""
+    padded = np.r_[text, np.zeros(8, np.uint8)]
+    eight = np.zeros(len(text), np.uint64)
+    for k in range(8):
+        eight = (eight << np.uint64(8)) | padded[k : k + len(text)].astype(np.uint64)
     same = np.arange(len(a))
-    for k in range(length):
-        same = same[text[a[same] + k] == text[b[same] + k]]
-        if not len(same):
-            break
+    for k in [*range(0, length - 8, 8), length - 8]:
+        same = same[eight[a[same] + k] == eight[b[same] + k]]
     out = np.zeros(len(a), bool)
     out[same] = True
     return out
@@ -235,10 +237,26 @@ def sorted_slices(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def slice_bytes(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """The bytes of wanted slices (doc_id, anchor, start, windows, hot), read from their documents."""
     listed = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "start", "windows", "hot")).alias("wanted"))
-    rows = docs.join(listed, "doc_id").select("doc_id", "text", F.inline("wanted"))
-    # The text stays in characters until here; one row per slice is cut out of its bytes.
-    raw = F.substring(F.encode("text", "UTF-8"), F.col("start").cast("int") + 1, F.col("windows") + LENGTH - 1)
-    return rows.select("doc_id", "anchor", "start", "windows", "hot", raw.alias("bytes"))
+    kind = "doc_id long, anchor long, start long, windows int, hot boolean, bytes binary"
+    return docs.join(listed, "doc_id").select("doc_id", "text", "wanted").mapInArrow(cut_out, kind)
+
+
+def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ["doc_id", "anchor", "start", "windows", "hot", "bytes"]
+    for batch in batches:
+        wanted = batch.column(2)
+        rows = np.repeat(np.arange(batch.num_rows), wanted.value_lengths().to_numpy())
+        flat = wanted.flatten()
+        columns = [flat.field(k) for k in range(4)]
+        for low in range(0, len(rows), 20_000):
+            part = slice(low, low + 20_000)
+            out, last, raw = [], -1, b""
+            for row, start, windows in zip(rows[part], columns[1][part].to_pylist(), columns[2][part].to_pylist()):
+                if row != last:
+                    last, raw = row, batch.column(1)[int(row)].as_py().encode()
+                out.append(raw[start : start + windows + LENGTH - 1])
+            ids = batch.column(0).take(pa.array(rows[part]))
+            yield pa.RecordBatch.from_arrays([ids, *(c[part] for c in columns), pa.array(out, pa.binary())], names)
 
 
 def hot_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
