@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry_points
+from cartloom.plans.queries import QUERIES
 
 from .oracle import compare, connect
 
@@ -17,10 +18,10 @@ def sql():
 
 
 def test_every_query_has_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(QUERIES) <= set(entry_points.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(entry_points.oracle_sql()))
 def test_query_equals_sql(spark, sql, name):
     df = entry_points.queries()[name](spark, SF)
     assert compare(df, sql, entry_points.oracle_sql()[name]) == []
