@@ -215,6 +215,7 @@ def made_page(rng: np.random.Generator) -> tuple[str, list[str]]:
     sentence = lambda: line(3, 25).capitalize() + pick(".", ".", ".", "!", "?", "")
     links = lambda n: "".join(f"<li><a href='/x'>{line(1, 4)}</a></li>" for _ in range(n))
     blocks: list[str] = []
+    tiny = rng.random() < 0.2
 
     def block(tag: str, text: str) -> str:
         blocks.append(text)
@@ -224,7 +225,9 @@ def made_page(rng: np.random.Generator) -> tuple[str, list[str]]:
         out = block("h1", line(2, 10).capitalize()) if rng.random() < 0.8 else ""
         for _ in range(rng.integers(1, 8)):
             kind = rng.random()
-            if kind < 0.7:
+            if tiny:
+                out += block("p", line(1, 5))
+            elif kind < 0.7:
                 out += block("p", " ".join(sentence() for _ in range(rng.integers(1, 5))))
             elif kind < 0.8:
                 out += "</p><ul>" + "".join(block("li", line(2, 12)) for _ in range(3)) + "</ul>"
