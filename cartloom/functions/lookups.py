@@ -24,30 +24,6 @@ MONTH_WEIGHTS: dict[int, float] = {
     12: 2.0,
 }
 
-# List price per product id in the seed orders.
-SEED_PRICES: dict[int, float] = {
-    1: 109.95,
-    2: 22.30,
-    3: 55.99,
-    4: 15.99,
-    5: 695.00,
-    6: 168.00,
-    7: 7.95,
-    8: 375.00,
-    9: 64.00,
-    10: 67.99,
-    11: 109.50,
-    12: 12.99,
-    13: 9.85,
-    14: 19.99,
-    15: 39.99,
-    16: 299.00,
-    17: 49.99,
-    18: 129.00,
-    19: 89.99,
-    20: 24.99,
-}
-
 
 def lookup_constant(key: Column, table: Mapping, default: float | None = None) -> Column:
     """Value of ``key`` in a constant table held in the plan; ``default`` when absent."""

@@ -60,14 +60,14 @@ def check_fk(
 ) -> DataFrame:
     """Child rows whose non-NULL key has no parent.
 
-    Child keys are counted before the anti join, so a hot key crosses it as a single row.
+    Both sides are reduced to distinct keys before the anti join, so a hot key crosses it as a single row.
     """
     keys = (
         child.filter(F.col(child_key).isNotNull())
         .groupBy(F.col(child_key).alias("__child"))
         .agg(F.count("*").alias("__rows"))
     )
-    parents = parent.select(F.col(parent_key).alias("__parent"))
+    parents = parent.select(F.col(parent_key).alias("__parent")).distinct()
     orphans = keys.join(parents, F.col("__child") == F.col("__parent"), "left_anti")
     return _named(orphans, name, F.sum("__rows"))
 

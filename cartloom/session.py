@@ -69,7 +69,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     folder = context.getConf().get("spark.checkpoint.dir")
     if not folder:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         folder = tempfile.mkdtemp(prefix="cartloom-checkpoint-")
     context.setCheckpointDir(folder)

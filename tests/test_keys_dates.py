@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from cartloom.functions.dates import date_key, landing_key, partition_values
 from cartloom.functions.keys import NULL_PART, surrogate_key
-from cartloom.functions.lookups import MONTH_WEIGHTS, SEED_PRICES, lookup_constant
+from cartloom.functions.lookups import MONTH_WEIGHTS, lookup_constant
 from cartloom.functions.text import new_run_id, strip_prefix
 from cartloom.operators.sampling import month_weighted_sample
 from cartloom.plans.marts import dim_date
@@ -66,7 +66,7 @@ def test_lookup_and_path(spark):
     df = spark.createDataFrame([(1,), (12,), (99,)], "m int")
     got = rows(df.select("m", lookup_constant(F.col("m"), MONTH_WEIGHTS, 1.0).alias("w")))
     assert got == [(1, 1.4), (12, 2.0), (99, 1.0)]
-    assert df.select(lookup_constant(F.col("m"), SEED_PRICES)).collect()[2][0] is None
+    assert df.select(lookup_constant(F.col("m"), {1: 2.5, 12: 3.0})).collect()[2][0] is None
     path = spark.createDataFrame([("raw/carts/year=2024/x.json",)], "p string")
     assert path.select(strip_prefix("p", "raw/carts/")).first()[0] == "year=2024/x.json"
 
