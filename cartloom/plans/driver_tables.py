@@ -49,16 +49,6 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use every core on a table stored in fewer splits than there are cores.
-
-    The small test tables are one split each; a table large enough to have splits for all
-    cores passes unchanged, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
-
-
 def ntz(text: str) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
@@ -165,7 +155,7 @@ def cart_bronze(spark: SparkSession, sf: str) -> DataFrame:
     for some), so a document has a fixed upper size and no rows are gathered to build it.
     """
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    rows = spread(orders, "o_orderkey").select(
+    rows = orders.select(
         "*",
         _loads(
             ("run-1", "2024-01-01", 0), ("run-2", "2024-01-02", 1), ("run-2", "2024-01-03", 2)
@@ -206,7 +196,7 @@ EVENT_FIELDS = (
 
 def event_records(spark: SparkSession, sf: str) -> DataFrame:
     """``events`` as JSON text bound to bronze; every seventh value is not a number."""
-    events = spread(table(spark, sf, "events"), "event_id")
+    events = table(spark, sf, "events")
     value = F.when(F.col("event_id") % 7 == 0, F.lit("x")).otherwise(F.col("value").cast("string"))
     record = F.struct(
         F.col("event_id").alias("id"),
@@ -287,11 +277,8 @@ def customer_history(spark: SparkSession, sf: str) -> DataFrame:
 
 def order_items(spark: SparkSession, sf: str) -> DataFrame:
     """``lineitem`` joined to its order, in the shape of the seed order items."""
-    items = spread(
-        table(spark, sf, "lineitem").select(
-            "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice"
-        ),
-        "l_orderkey",
+    items = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice"
     )
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     return items.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(

@@ -156,7 +156,7 @@ def stg_users(spark, sf):
 @query
 def cart_items_explode(spark, sf):
     orders = given.table(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    carts = given.spread(orders, "o_orderkey").select(
+    carts = orders.select(
         "o_orderkey", F.parse_json(F.to_json(given.cart_items())).alias("products")
     )
     return explode_items(carts, "products").select(
