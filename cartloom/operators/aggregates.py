@@ -48,7 +48,7 @@ def order_summary(
 
 def units_by_category_month(
     fact: DataFrame,
-    products: DataFrame,
+    products: DataFrame | None = None,
     key: str = "product_key",
     category: str = "category",
     quantity: str = "quantity",
@@ -57,9 +57,14 @@ def units_by_category_month(
     """Units sold per category and calendar month.
 
     Units are summed per product and month first. The join to the dimension then moves one row
-    per product and month instead of every order item, which also flattens hot products.
+    per product and month instead of every order item, which also flattens hot products. Without
+    ``products`` the fact carries the category already, as an as-of join can take it along.
     """
     month = F.date_format(day, "yyyy-MM")
+    if products is None:
+        sold = F.sum(F.col(quantity).cast("decimal(18,2)")).cast("decimal(38,2)")
+        known = fact.filter(F.col(key).isNotNull())
+        return known.groupBy(F.col(category).alias("category"), month.alias("month")).agg(sold.alias("units"))
     per_product = (
         fact.filter(F.col(key).isNotNull())
         .groupBy(key, month.alias("month"))

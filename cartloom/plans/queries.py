@@ -308,9 +308,9 @@ def asof_customer(spark, sf):
 
 @query
 def asof_product_hot(spark, sf):
-    """The product join with the busiest products taken out of its shuffle."""
+    """The product join with the busiest products dealt out over several tasks."""
     items = _dated_items(spark, sf)
-    hot = find_hot_keys(given.table(spark, sf, "lineitem"), "l_partkey", share=0.0007)
+    hot = find_hot_keys(given.table(spark, sf, "lineitem"), "l_partkey", times=1.5)
     return asof_left(
         items, _products(spark, sf), "product_id", "order_date", _PRODUCT_TAKE, hot_keys=hot
     )
@@ -371,9 +371,9 @@ def seed_summary(spark, sf):
 def units_by_category_month(spark, sf):
     items = asof_left(
         _dated_items(spark, sf), _products(spark, sf), "product_id", "order_date",
-        {"product_key": "product_key"},
+        {"product_key": "product_key", "category": "category"},
     )
-    return agg.units_by_category_month(items, _products(spark, sf))
+    return agg.units_by_category_month(items)
 
 
 @query
