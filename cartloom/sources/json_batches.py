@@ -12,7 +12,9 @@ from pyspark.sql import types as T
 from ..functions.dates import landing_key
 from ..operators.bronze import RECORD, REJECTED, bind_entity
 from ..schemas import BRONZE, entity_spec
+from .generations import Generations
 
+_END = "end of the text, read by cartloom"
 _WRITE_OPTIONS = {
     "ignoreNullFields": "false",
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
@@ -25,28 +27,25 @@ def records_of(reader, paths: str | Sequence[str], layout: str = "array") -> Dat
     ``reader`` is ``spark.read`` or ``spark.readStream``. ``array`` files hold one JSON array
     (or one object) each; the outer array is stripped, and a single bad element stays isolated
     because elements are not bound to a schema here. Such a file is one task. ``lines`` files
-    hold one record per line and split. Unparseable text becomes one row with a NULL record.
+    hold one record per line and split. Text that cannot be parsed, or goes on after its first value, becomes
+    one row with a NULL record, so a file read in the wrong layout is rejected and never loaded in part.
     Compression is detected from the file name.
     """
-    if layout == "array":
-        raw = (
-            reader.format("json")
-            .option("multiLine", True)
-            .option("singleVariantColumn", "_document")
-            .load(paths)
-        )
-        document, tag = F.col("_document"), None
-    elif layout == "lines":
-        raw = reader.format("text").load(paths).filter(F.length(F.trim("value")) > 0)
-        document, tag = F.try_parse_json("value"), F.xxhash64("value")
-    else:
+    if layout not in ("array", "lines"):
         raise ValueError(f"unknown layout {layout!r}")
-
-    documents = raw.select(
+    whole = layout == "array"
+    raw = reader.format("text").option("wholetext", whole).load(paths)
+    raw = raw.filter(F.col("value").rlike(r"\S"))
+    # The parser stops after the first value; a last element of our own shows that it read the text to its end.
+    closed = F.concat(F.lit("["), "value", F.lit(f',"{_END}"]'))
+    parsed = raw.select(
         F.col("_metadata.file_path").alias("_file"),
-        document.alias("_document"),
-        (F.lit(0).cast("bigint") if tag is None else tag).alias("_line"),
+        F.try_parse_json(closed).alias("_closed"),
+        (F.lit(0).cast("bigint") if whole else F.xxhash64("value")).alias("_line"),
     )
+    read = F.try_variant_get("_closed", "$[1]", "string") == _END
+    document = F.when(read, F.try_variant_get("_closed", "$[0]", "variant"))
+    documents = parsed.select("_file", document.alias("_document"), "_line")
     elements = F.coalesce(
         F.try_variant_get("_document", "$", "array<variant>"), F.array("_document")
     )
@@ -113,9 +112,32 @@ def _stored_bronze(spark: SparkSession, entity: str, root: str) -> DataFrame:
             T.StructField("rejected", T.BooleanType()),
         ]
     )
+    if not Generations(spark, bronze_path(root, entity)).children(bronze_path(root, entity)):
+        return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(bronze_path(root, entity))
 
 
+def committed_batches(spark: SparkSession, entity: str, root: str) -> tuple[list[str], list[str]]:
+    """Batch ids in bronze: those written to the end, and those a lost writer left half-way."""
+    path = bronze_path(root, entity)
+    folders = Generations(spark, path)
+    names = [n for n in folders.children(path) if n.startswith("batch=")]
+    done = {n for n in names if "_SUCCESS" in folders.children(f"{path}/{n}")}
+    ids = lambda some: sorted(n.removeprefix("batch=") for n in some)
+    return ids(done), ids(set(names) - done)
+
+
+def not_loaded(bound: DataFrame, entity: str, root: str, batch: str) -> DataFrame:
+    """Rows of files that no other batch holds. Bronze itself is the ledger, so rows and entry are one write."""
+    spark = bound.sparkSession
+    done, torn = committed_batches(spark, entity, root)
+    if not set(done) - {batch}:
+        return bound
+    seen = _stored_bronze(spark, entity, root).filter(~F.col("batch").isin(batch, *torn))
+    seen = seen.select(F.col("_file").alias("__seen")).distinct()
+    return bound.join(seen, F.col("_file") == F.col("__seen"), "left_anti")
+
+
 def bronze_batches(spark: SparkSession, entity: str, root: str) -> DataFrame:
     """Loaded rows with the batch they came in; filters on ``batch`` prune folders."""
     stored = _stored_bronze(spark, entity, root).filter("NOT rejected")
@@ -137,10 +159,16 @@ def load_bronze(
     root: str,
     batch: str,
     layout: str = "array",
+    force: bool = False,
 ) -> dict[str, int]:
-    """Load named landed files into bronze under batch id ``batch``."""
+    """Load named landed files into bronze under batch id ``batch``.
+
+    Files that another batch holds are left out, whichever way they were loaded, unless ``force`` is given.
+    """
     spec = entity_spec(entity)
-    return write_bronze(bind_entity(read_json_batch(spark, path, layout), spec), entity, root, batch)
+    bound = bind_entity(read_json_batch(spark, path, layout), spec)
+    bound = bound if force else not_loaded(bound, entity, root, batch)
+    return write_bronze(bound, entity, root, batch)
 
 
 def load_run(

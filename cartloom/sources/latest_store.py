@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..operators.dedup import bronze_order, latest_per_key
 from ..schemas import BRONZE
 from .generations import Generations
-from .json_batches import bronze_batches
+from .json_batches import bronze_batches, committed_batches
 
 
 class LatestStore:
@@ -35,10 +35,10 @@ class LatestStore:
     def advance(self) -> DataFrame:
         """Merge the batches that the streams wrote since the last call; returns the result.
 
-        Stream batches are numbered, so the commit remembers how far it has come.
+        Stream batches are numbered, so the commit remembers how far it has come. A batch counts once it is
+        written to its end; one that failed half-way is merged after its replay.
         """
-        names = self.generations.children(f"{self.root}/bronze/{self.entity}")
-        batches = [n.removeprefix("batch=") for n in names if n.startswith("batch=")]
+        batches, _ = committed_batches(self.spark, self.entity, self.root)
         if not all(b.isdigit() for b in batches):
             raise ValueError("incremental staging needs batches numbered by ingest_new_files")
         ids = [int(b) for b in batches]

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.bronze import bind_entity
 from ..schemas import entity_spec
-from ..sources.json_batches import records_of, write_bronze
+from ..sources.json_batches import not_loaded, records_of, write_bronze
 
 
 def ingest_new_files(
@@ -22,7 +22,8 @@ def ingest_new_files(
 ) -> dict[str, int]:
     """Load the files of an entity that no earlier call has seen, then stop.
 
-    The stream checkpoint is the ledger of loaded files. A micro-batch that is replayed after a
+    The stream checkpoint is the ledger of loaded files; files that ``load_bronze`` or ``load_run`` put into
+    bronze are left out as well. A micro-batch that is replayed after a
     failure keeps its id and overwrites its own bronze folder, so no row is loaded twice.
     ``max_files_per_batch`` bounds a backlog; ``after_batch`` runs once a batch is in bronze.
     """
@@ -34,9 +35,10 @@ def ingest_new_files(
     totals = {"parsed": 0, "loaded": 0, "rejected": 0}
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        counts = write_bronze(batch, entity, root, f"{batch_id:012d}")
-        for name in totals:
-            totals[name] += counts[name]
+        name = f"{batch_id:012d}"
+        counts = write_bronze(not_loaded(batch, entity, root, name), entity, root, name)
+        for count in totals:
+            totals[count] += counts[count]
         if after_batch:
             after_batch(batch_id)
 

@@ -14,6 +14,8 @@ from cartloom.sources.json_batches import (
     read_bronze,
     read_json_batch,
 )
+from cartloom.sources.latest_store import LatestStore
+from cartloom.streaming.ingest import ingest_new_files
 
 from .conftest import rows
 
@@ -69,11 +71,50 @@ def test_unparseable_file_is_one_reject(spark, tmp_path):
     assert bad.count() == 1
 
 
-def test_record_that_is_no_object_loads_as_nulls(spark, tmp_path):
-    put(tmp_path / "a.json", "[7]")
+def test_record_that_is_no_object_is_rejected(spark, tmp_path):
+    put(tmp_path / "a.json", "[7, {}]")
     good, bad = split_rejects(bind_entity(read_json_batch(spark, str(tmp_path)), ENTITY_SPECS["products"]))
-    assert good.select("id", "title").first() == (None, None)
-    assert bad.count() == 0
+    assert rows(good, "id", "_row_tag") == [(None, 1)]
+    assert bad.count() == 1
+
+
+@pytest.mark.parametrize("tail", [' {"id": 2}', ' junk', ', {"id": 2}', '] junk [', '}'])
+def test_text_after_a_record_is_rejected(spark, tmp_path, tail):
+    put(tmp_path / "a.json", '{"id": 1}\n{"id": 3}' + tail)
+    good, bad = split_rejects(bind_entity(read_json_batch(spark, str(tmp_path), "lines"), ENTITY_SPECS["products"]))
+    assert rows(good, "id") == [(1,)] and bad.count() == 1
+
+
+def test_the_wrong_layout_loads_nothing(spark, tmp_path):
+    put(tmp_path / "array.json", [product(1), product(2)])
+    put(tmp_path / "lines.json", "\n".join(json.dumps(product(n)) for n in range(3)))
+    for name, layout in (("array", "lines"), ("lines", "array")):
+        records = read_json_batch(spark, str(tmp_path / f"{name}.json"), layout)
+        good, bad = split_rejects(bind_entity(records, ENTITY_SPECS["products"]))
+        assert good.count() == 0 and bad.count() > 0
+
+
+def test_each_file_once_for_every_entry_point(spark, tmp_path):
+    one = spark.createDataFrame([(1,)], "id long")
+    where = {"products": land_json(one, "products", str(tmp_path), NOW)}
+    root = str(tmp_path / "lake")
+    assert read_bronze(spark, "products", root).count() == 0  # nothing loaded yet
+    load_run(spark, where, root, "r1")
+    ingest_new_files(spark, "products", str(tmp_path), root)
+    load_run(spark, where, root, "r2")
+    assert rows(read_bronze(spark, "products", root), "id") == [(1,)]
+
+
+def test_a_half_written_batch_is_merged_after_its_replay(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    for n, batch in enumerate(("000000000000", "000000000001"), start=1):
+        load_bronze(spark, "products", put(tmp_path / f"{n}.json", [product(n)]), root, batch)
+    mark = tmp_path / "lake" / "bronze" / "products" / "batch=000000000001" / "_SUCCESS"
+    mark.unlink()
+    store = LatestStore(spark, root, "products", ["id"])
+    assert rows(store.advance(), "id") == [(1,)]
+    mark.touch()
+    assert rows(store.advance(), "id") == [(1,), (2,)]
 
 
 def test_lines_layout_isolates_a_bad_line(spark, tmp_path):
@@ -102,7 +143,9 @@ def test_load_counts_rejects_and_retry(spark, tmp_path):
         assert counts == {"parsed": 3, "loaded": 2, "rejected": 1}
     assert read_bronze(spark, "products", root).count() == 2
     assert read_bronze(spark, "products", root, rejects=True).count() == 1
-    load_bronze(spark, "products", file, root, "b2")
+    load_bronze(spark, "products", file, root, "b2")  # another batch holds the file already
+    assert read_bronze(spark, "products", root).count() == 2
+    load_bronze(spark, "products", file, root, "b3", force=True)
     assert read_bronze(spark, "products", root).count() == 4
     assert read_bronze(spark, "products", root).columns == BRONZE["products"].fieldNames()
 
