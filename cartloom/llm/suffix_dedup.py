@@ -11,8 +11,9 @@ others are induced by scanning the buckets in order. Adjacent common prefixes of
 windows; all but the earliest window of a class are removed. Anchors with more than HOT distinct slices are
 not gathered: their windows are dealt out by content and the earliest is found by a pre-aggregated minimum.
 
-Null text has no bytes. Rows that share a doc_id count as being in the same place, so they never remove each other's bytes,
-and each is reported; rows without a doc_id come before all others. Empty tables give no rows; other columns are not read.
+Null text has no bytes. A doc_id names one text: rows that repeat it are in the same place, never remove each other's bytes, and
+are each reported. Rows without a doc_id come before all others, ordered by a hash of their texts, so that different texts are
+different documents and equal ones repeat a document. Empty tables give no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -34,6 +35,8 @@ GRAM = 16
 GRAMS = LENGTH - GRAM + 1
 HOT = 20_000
 TASK_BYTES = 4 << 20
+#: Rows without a doc_id get ids below -2^62 from their text; given ids are above.
+UNNAMED_BITS = (1 << 61) - 1
 
 _PLACE_BITS = 21
 _PLACE = np.uint64((1 << _PLACE_BITS) - 1)
@@ -295,7 +298,8 @@ def kept_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every document."""
-    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc_id"), "text")
+    unnamed = F.xxhash64("text").bitwiseAND(UNNAMED_BITS) - F.lit(1 << 62) - F.lit(1 << 62)
+    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), unnamed).alias("doc_id"), "text")
     every = written(text_slices(docs))
     shared = every.groupBy("anchor").count().where("count > 1").select("anchor")
     some = written(every.join(shared, "anchor"))
@@ -327,4 +331,4 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     dropped(firsts, copies, texts)
     out = docs.join(spans, "doc_id", "left").select("doc_id", "text", "first", "last")
     kind = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    return out.mapInArrow(kept_text, kind).withColumn("doc_id", F.expr(f"nullif(doc_id, -{(1 << 63) - 1}L - 1L)"))
+    return out.mapInArrow(kept_text, kind).withColumn("doc_id", F.when(F.col("doc_id") >= -(1 << 62), F.col("doc_id")))

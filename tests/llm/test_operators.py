@@ -169,6 +169,22 @@ def test_suffix_dedup(docs, rows, none, hot, monkeypatch):
     assert suffix_dedup.remove_repeats(none).count() == 0
 
 
+def test_suffix_dedup_without_ids(spark):
+    shared = "".join(f"{i:03d}" for i in range(50))
+    given = [(None, "x" + shared), (None, shared + "and a much longer end " * 9), (1, shared), (1, shared), (None, None), (None, "x" + shared)]
+    found = suffix_dedup.remove_repeats(spark.createDataFrame(given, "doc_id long, text string")).collect()
+    removed = sorted((r["doc_id"] or 0, r["n_bytes"], r["n_removed"]) for r in found)
+    assert [r for r in removed if r[0]] == [(1, 150, 150)] * 2
+    unnamed = [r[1:] for r in removed if not r[0]]
+    # Of the two unnamed texts one keeps the passage, whichever comes first; a repeated row is judged like its twin.
+    size, end = len(given[1][1]), size_of_later_windows(given[1][1][150:])
+    assert unnamed in ([(0, 0), (151, 0), (151, 0), (size, 150 + end)], [(0, 0), (151, 150), (151, 150), (size, end)])
+
+
+def size_of_later_windows(text):
+    return brute_repeats([(0, text)])[0][1]
+
+
 def test_suffix_array_sorts():
     rng = np.random.default_rng(0)
     for n, k in ((1, 2), (2, 1), (60, 1), (300, 2), (1500, 3), (2000, 200)):
