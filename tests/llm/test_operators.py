@@ -285,6 +285,33 @@ def test_secret_scan(docs, none, spark):
     assert secrets.secret_scan(docs).count() == docs.count()
 
 
+def test_secret_spellings(spark):
+    hex_, aws, gh = hashlib.sha1(b"k").hexdigest(), "AKIA" + hashlib.sha1(b"a").hexdigest()[:16].upper(), "ghp_abcdefghijklmnopqrstuvwxyz0123456789"
+    b64 = "q7Rt+0ZbW1xK/9vLm3PzY8sD2fGhJ4cN"
+    given = [
+        (f"--token={gh}", gh),
+        (f"run it with ...{aws} now", aws),
+        (f"AWS_KEY={aws}", aws),
+        (f"DB_URL=x\nAPI_KEY={hex_}\nMODE=fast", hex_),
+        (f"https://host.example.net/path/to?api_key={hex_}&page=2", hex_),
+        (f"token:{hex_}", hex_),
+        (f"secret_key = {b64}==", b64 + "=="),
+        (f"aws_secret_access_key={b64}", b64),
+        ("password=Xk9#mQ2p", "Xk9#mQ2p"),
+        ('{"db_password": "t7!Rz,(q9)Lw"}', "t7!Rz,(q9)Lw"),
+        (f"somebody left {gh} in the notes", gh),
+        (f"we saw {aws}, then left", aws),
+        (f"see keys/{aws}", aws),
+    ]
+    found = by_id(secrets.secret_scan(spark.createDataFrame([(k, x[0]) for k, x in enumerate(given)], "doc_id long, text string")))
+    spans = {text: f"secret:{text.index(value)}:{text.index(value) + len(value)}" for text, value in given}
+    assert {text: found[k]["spans"] for k, (text, _) in enumerate(given)} == spans
+    runs = [(1, f"x ={hex_}"), (2, f"-{hex_}"), (3, "password: required, author: Shakespeare; token = request.user"), (4, f"commit={hex_}")]
+    found = by_id(secrets.secret_scan(spark.createDataFrame(runs, "doc_id long, text string")))
+    assert found[1]["n_candidates"] == found[2]["n_candidates"] == 1
+    assert found[3]["n_secrets"] == found[4]["n_secrets"] == 0
+
+
 def test_forest_on_held_out_findings(spark):
     held = secrets.labelled_findings(spark, 9000).subtract(secrets.labelled_findings(spark))
     scored = secrets.trained(spark).transform(secrets._assembled(held))
