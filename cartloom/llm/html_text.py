@@ -33,14 +33,18 @@ _HIDDEN = re.compile(r"\bhidden\b|display\s*:\s*none", re.I)
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style textarea title noscript template svg iframe select option".split())
 _INLINE = frozenset(
-    "a abbr b bdi bdo cite code data dfn em font i kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var".split()
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup "
+    "time tt u var".split()
 )
+#: What ends an option: its own end tag, which is passed over, or else one of these or a block, read as tags.
+_OPTION_ENDS = re.compile(r"</?(?:option|optgroup|select|datalist)(?=[\s/>])", re.I)
 #: Start tags that end an open element of the same group.
 _ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 _TAGS = (
     "article main nav header footer aside form section div p h1 h2 h3 h4 h5 h6 ul ol li table tr td th "
     "blockquote pre figure figcaption body html head dl dt dd button fieldset details address"
 ).split()
+_BLOCK = re.compile(rf"</?(?:{'|'.join(_TAGS)})(?=[\s/>])", re.I)
 _WORDS = {
     "content": r"content|article|post(?!ing)|entry|story|main|body|text",
     "menu": r"nav|menu|breadcrumb|pagination|toc|skip",
@@ -97,6 +101,11 @@ def _leaf(text: str, linked: int) -> list[int]:
     return out
 
 
+@cache
+def _raw_end(tag: str) -> re.Pattern:
+    return re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I)
+
+
 def parse(page: str) -> Tree:
     tree = Tree()
     stack = [("", tree.add(-1, [FEATURES["bias"]]))]
@@ -116,6 +125,25 @@ def parse(page: str) -> Tree:
         while len(stack) > 1 and stack.pop()[0] != tag:
             pass
 
+    @cache
+    def last_end(tag: str) -> int:
+        """Where the last end tag of this name starts, so that many unclosed elements do not search the rest of the page each."""
+        return max((m.start() for m in _raw_end(tag).finditer(page)), default=-1)
+
+    def after_raw(tag: str, attributes: str, at: int) -> int:
+        """Where reading goes on after a raw start tag; without an end tag, right there, but for script and style."""
+        if tag == "svg" and attributes.rstrip().endswith("/"):
+            return at
+        if tag == "option":
+            end = _OPTION_ENDS.search(page, at)
+            if end and end[0].lower() == "</option":
+                return page.find(">", end.end()) + 1 or len(page)
+            block = _BLOCK.search(page, at, end.start() if end else len(page))
+            return block.start() if block else end.start() if end else at
+        if last_end(tag) < at:
+            return len(page) if tag in ("script", "style") else at
+        return page.find(">", _raw_end(tag).search(page, at).end()) + 1 or len(page)
+
     while at < len(page):
         m = _TOKEN.search(page, at)
         gap = page[at : m.start() if m else len(page)]
@@ -135,9 +163,7 @@ def parse(page: str) -> Tree:
                 close(tag)
             continue
         if tag in _RAW:
-            end = re.compile(f"</{tag}", re.I).search(page, at)
-            at = page.find(">", end.start()) + 1 if end else len(page)
-            at = at or len(page)
+            at = after_raw(tag, m[3], at)
         elif tag in ("br", "hr", "img", "wbr"):
             pending.append(" " if tag != "wbr" else "")
             if tag == "hr":

@@ -333,6 +333,32 @@ def test_page_text(spark):
     assert all(r["n_chars"] == len(r["text"]) for r in found.values())
 
 
+def test_page_text_after_unclosed_raw_tags():
+    article = "<article><p>The harbour was quiet that morning, and nobody had seen the boats go out.</p></article>"
+    wanted = "The harbour was quiet that morning, and nobody had seen the boats go out."
+    above = [
+        '<svg class="i"/>',
+        '<svg class="i" />',
+        '<svg class="i">',
+        '<datalist><option value="a"><option value="b"></datalist>',
+        '<select><option>One<option selected>Two</select>',
+        '<select><optgroup label="x"><option>One</optgroup></select><p>',
+        '<option value="a">',
+        "<iframe src='x'>",
+        "<noscript>",
+        "<textarea>",
+        "<template>",
+    ]
+    for start in above:
+        for end in ("", "<svg><text>no</text></svg>" if start.endswith("/>") else "", "<select><option>no</option></select>"):
+            got = html_text.main_text(f"<html><body>{start}{article}{end}</body></html>", html_text.trained())
+            assert wanted in got and "no</" not in got, start
+    closed = "<svg><title>no</title></svg><select><option>no</option></select><script>if (a </scripts> b) no</script><textarea>no</textarea>"
+    assert html_text.main_text(f"<html><body>{closed}{article}</body></html>", html_text.trained()) == wanted
+    texts = html_text.parse("<p>He <del>was</del> <ins>is</ins> <big>really</big> <acronym>BBC</acronym> here</p>").texts
+    assert [t for t in texts if t] == ["He was is really BBC here"]
+
+
 def test_pipeline(spark, rows):
     sf = "/root/testdata/sf0.001"
     given = spark.read.parquet(f"{sf}/documents.parquet")
