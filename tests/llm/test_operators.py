@@ -237,6 +237,41 @@ def test_license_scan(docs, rows, none):
     assert len(licenses.rules()) > 300
 
 
+def test_license_notices(spark):
+    given = [
+        ("MIT License\n\nCopyright (c) 2020 A. B.\n\nPermission is hereby granted, free of charge, to any person obtaining a copy", "mit"),
+        ("Permission is hereby granted, free of charge", "mit"),
+        ("Redistribution and use in source and binary forms, with or without modification, are permitted", "bsd"),
+        ("Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote", "bsd-3"),
+        ("you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software"
+         " Foundation, either version 3 of the License, or (at your option) any later version.", "gpl-3"),
+        ("under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1", "lgpl-2.1"),
+        ("This work is licensed under a Creative Commons Attribution 4.0 International License.", "cc-by"),
+        ("licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License", "cc-by-nc-sa"),
+        ("It is released under the GPL.", "gpl"),
+        ("licensed under the BSD license", "bsd"),
+        ("licensed under an Apache license", "apache"),
+        ("Photo: A. B., CC BY-SA 4.0", "cc-by-sa"),
+        ("CC BY 4.0", "cc-by"),
+        ("GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007", "gpl-3"),
+        ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,"
+         " provided that", "isc"),
+        ("Licensed under the Apache License, Version 2.0 (the \"License\");", "apache-2"),
+        ("GPLv3", "gpl-3"),
+        ("This is free and unencumbered software released into the public domain.", "unlicense"),
+        ("the committee gave permission to use the hall, and the license plate was public", ""),
+    ]
+    found = by_id(licenses.license_scan(spark.createDataFrame([(k, x[0]) for k, x in enumerate(given)], "doc_id long, text string")))
+    assert {x[0]: found[k]["labels"] for k, x in enumerate(given)} == dict(given)
+
+
+def test_license_hints():
+    for name in [n for _, n, _ in licenses.NAMES]:
+        assert all(len(x.strip()) > 1 for x in licenses.literals(name)), name
+    assert licenses.literals("(?:simplified|2 clause) bsd|bsd 2 clause") == (" bsd", "bsd 2 clause")
+    assert licenses.literals("gnu general public licen[sc]e(?! (?:a|b)c)|gpl ?v?3") == ("gnu general public licen", "gpl")
+
+
 def test_packing(docs, rows, none):
     found = packing.pack(docs, tokenizer_path()).collect()
     slow, texts = packing.FastTokenizer(tokenizer_path()).slow, dict(rows)
