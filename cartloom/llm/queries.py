@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, html_text, licenses, ngram_join, packing, personal_data, quality, secrets, sharding, suffix_dedup
+from . import corpus_model, decontaminate, html_text, importance, licenses, ngram_join, packing, personal_data, prefix_trie
+from . import quality, secrets, sharding, suffix_dedup
+from .oracles import ORACLES  # noqa: F401
 from .store import table
 
 
@@ -54,6 +56,18 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_corpus_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_model.score_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_personal_data,
     op2_license_scan,
@@ -65,5 +79,7 @@ QUERIES = {f.__name__: f for f in (
     op8_secret_scan,
     op9_sharding,
     op10_html_extraction,
+    op11_importance_resampling,
+    op12_prefix_trie,
+    op13_corpus_model,
 )}
-ORACLES: dict[str, str] = {}
