@@ -7,7 +7,7 @@ numbers into keys, tokens and passwords (secret) and digests, paths, words, iden
 Candidates are known forms wherever they start, what is assigned to a name with a secret word (six characters or more),
 and other runs of 16 characters or more. A name before '=' or ':' is never part of the candidate.
 
-Null or empty text has no candidates. Rows are independent; repeated rows are each reported; an empty table gives no rows.
+Null or empty text has no candidates. Unbroken runs of any length are one candidate. Rows are independent; repeated rows are each reported; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -32,9 +32,11 @@ ASSIGNED = (
     r"(?:(?<=[\"'])[^\s\"']{6,}(?=[\"'])"
     r"|[A-Za-z0-9+/_~!@#$%^*][A-Za-z0-9+/_~!@#$%^*.:?|-]{4,}[A-Za-z0-9+/_~!@#$%^*-](?:={1,2}(?![A-Za-z0-9+/_=~]))?)"
 )
-#: A long run: '=' is padding at its end, never between a name and its value; a known form inside starts on its own.
+#: A long run: '=' is padding at its end, never between a name and its value; a known form inside starts on its own. The loop
+#: is possessive, which the matcher runs without a frame per character; up to nine dots or dashes may follow one another.
 RUN = (
-    rf"(?<![A-Za-z0-9+/_~])[A-Za-z0-9+/_~](?:[A-Za-z0-9]|[+/_.~-](?!{KNOWN})){{14,}}[A-Za-z0-9+/_~](?:={{1,2}}(?![A-Za-z0-9+/_=~.-]))?"
+    rf"(?<![A-Za-z0-9+/_~])[A-Za-z0-9+/_~](?:[A-Za-z0-9]|[+/_~](?!{KNOWN})|[.-](?=[.-]{{0,8}}[A-Za-z0-9+/_~])(?!{KNOWN})){{15,}}+"
+    r"(?:={1,2}(?![A-Za-z0-9+/_=~.-]))?"
 )
 CANDIDATE = rf"-----BEGIN [A-Z ]*PRIVATE KEY-----|(?<![A-Za-z0-9])(?:{KNOWN})|{ASSIGNED}|{RUN}"
 LABELLED = 6_000
