@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -129,8 +129,15 @@ def run_checks(checks: Iterable[DataFrame]) -> dict[str, int]:
 
     Only one row per check reaches the driver.
     """
-    rows = reduce(DataFrame.unionAll, checks).collect()
-    results = {row["check_name"]: row["failing"] for row in rows}
+    return settle({}, checks)
+
+
+def settle(known: Mapping[str, int], checks: Iterable[DataFrame]) -> dict[str, int]:
+    """As ``run_checks``, with failing rows counted before added to those of the checks."""
+    results, checks = dict(known), list(checks)
+    if checks:
+        for row in reduce(DataFrame.unionAll, checks).collect():
+            results[row["check_name"]] = results.get(row["check_name"], 0) + row["failing"]
     failures = {name: count for name, count in results.items() if count}
     if failures:
         raise CheckFailed(failures)

@@ -6,12 +6,16 @@ tables, so each role grows with them.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.bronze import RECORD, bind_entity, bind_fields, split_rejects
 from ..operators.dedup import latest_per_key
 from ..schemas import ENTITY_SPECS, Field
+from ..session import ensure_checkpoint_dir
+from ..sources.json_scan import listed_files
 
 SPINE_START, SPINE_DAYS = "1995-01-01", 2000
 FIRST_VERSION = "1996-01-01"
@@ -302,6 +306,21 @@ def landed_paths(spark: SparkSession, sf: str) -> DataFrame:
 CUSTOMER_CHECKS = ("status", "large")
 
 
+def landed_orders(spark: SparkSession, sf: str) -> list[str]:
+    """Orders landed as JSON arrays, one a file and the text of some across lines, in the shared scratch folder."""
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/landed-{uuid.uuid4().hex}"
+    orders = table(spark, sf, "orders").withColumn("file", F.pmod("o_custkey", F.lit(8)))
+    members = F.struct("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", F.concat(F.lit('}"],\n{ "'), "o_orderstatus").alias("note"))
+    line = Window.partitionBy("file").orderBy("o_orderkey")
+    lead = F.when(F.row_number().over(line) == 1, "[").otherwise(",")
+    last = F.when(F.lead("o_orderkey").over(line).isNull(), "\n]").otherwise("")
+    # Every third record goes over several lines.
+    record = F.to_json(members)
+    record = F.when(F.col("o_orderkey") % 3 == 0, F.replace(record, F.lit(',"o_'), F.lit(',\n  "o_'))).otherwise(record)
+    orders.select("file", F.concat(lead, record, last).alias("value")).write.partitionBy("file").text(folder)
+    return [row[0] for row in listed_files(spark.read, folder).collect()]
+
+
 def order_log(spark: SparkSession, sf: str, run_time: Column) -> DataFrame:
     """``orders`` as customer state, with the time of the run that first sees each order."""
     return table(spark, sf, "orders").select(

@@ -185,6 +185,10 @@ WHERE NOT EXISTS (
     SELECT 1 FROM (SELECT {LANDED} AS path FROM orders
                    WHERE o_orderdate < TIMESTAMP '2000-01-01') s
     WHERE s.path = n.path)""",
+    "json_array_scan": """
+SELECT o_orderkey::BIGINT AS o_orderkey, o_custkey::BIGINT AS o_custkey, o_orderstatus, o_totalprice::DOUBLE AS o_totalprice,
+       '}"],' || chr(10) || '{ "' || o_orderstatus AS note
+FROM orders""",
     "line_totals_rounded": """
 SELECT l_orderkey, l_linenumber, l_partkey,
        CAST(round(CAST(l_quantity AS DECIMAL(18,2)) * CAST(l_extendedprice AS DECIMAL(18,2)), 2)

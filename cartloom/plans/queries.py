@@ -23,6 +23,7 @@ from ..operators.dedup import latest_per_key, merge_latest
 from ..operators.explode import explode_items
 from ..operators.scd2 import as_of, current, scd2_fold, scd2_from_history
 from ..operators.stamp import enrich
+from ..sources.json_scan import scan_files
 from ..sources.ledger import unseen_files
 from . import driver_tables as given
 from . import marts, staging
@@ -103,6 +104,14 @@ def new_files_anti(spark, sf):
     return unseen_files(listed, ledger)
 
 
+@query
+def json_array_scan(spark, sf):
+    """Orders landed as JSON arrays and read back, cut into elements over all blocks of the files."""
+    records = scan_files(spark, given.landed_orders(spark, sf), "array")
+    kinds = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string", "o_totalprice": "double", "note": "string"}
+    return records.select(*[vget("_record", f"$.{name}", kind).alias(name) for name, kind in kinds.items()])
+
+
 @query
 def line_totals_rounded(spark, sf):
     quantity = F.col("l_quantity").cast("decimal(18,2)")

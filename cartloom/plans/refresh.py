@@ -14,12 +14,14 @@ from pyspark.sql import functions as F
 
 from ..functions.text import new_run_id
 from ..operators.aggregates import batch_counts
-from ..operators.quality import check_not_null, run_checks
+from ..operators.quality import check_not_null, settle
 from ..operators.stamp import enrich
 from ..schemas import ENTITY_SPECS, HISTORY_SPECS, REQUIRED_COLUMNS, entity_spec
-from ..sources.catalog import ensure_namespaces, publish_table, publish_view
-from ..sources.json_batches import land_json, read_bronze
+from ..sources.catalog import attach_table, ensure_namespaces, publish_partitions, publish_table, publish_view
+from ..sources.json_batches import bronze_batches, committed_batches, land_json, read_bronze
 from ..sources.latest_store import LatestStore
+from ..sources.ledger import BatchLedger
+from ..sources.run_store import RUN, RunStore
 from ..sources.seed_csv import read_seed
 from ..sources.snapshot_store import SnapshotStore
 from ..streaming.ingest import ingest_new_files
@@ -64,8 +66,8 @@ def land(
     return locations, run_id
 
 
-def ingest(spark: SparkSession, lake: Lake, layout: str = "lines") -> dict[str, dict[str, int]]:
-    """Load landed files not loaded before; returns the counts per entity."""
+def ingest(spark: SparkSession, lake: Lake, layout: str | None = None) -> dict[str, dict[str, int]]:
+    """Load landed files not loaded before, each in the layout it has; returns the counts per entity."""
     return {
         entity: ingest_new_files(spark, entity, lake.landing, lake.root, layout)
         for entity in ENTITY_SPECS
@@ -76,27 +78,49 @@ def stage(spark: SparkSession, lake: Lake, incremental: bool = False) -> None:
     """Rebuild the staging tables.
 
     By default from all of bronze. ``incremental`` starts products and users from the latest
-    row per key of the previous run and reads only the batches ingested since; their history of
-    full extracts is not scanned again. Carts are keyed by run, so their staging table holds
-    every run and is always rebuilt.
+    row per key of the previous run and reads only the batches loaded since; of carts, which are keyed by run, only the
+    runs that those batches touch are rebuilt. The history of full extracts is not scanned again.
     """
     ensure_namespaces(spark)
     for table, (entity, model) in _STAGING.items():
-        if incremental and entity != "carts":
+        if incremental and entity == "carts":
+            store = cart_runs(spark, lake)
+            changed = store.advance()
+            publish_partitions(spark, table, store.schema(), RUN, store.paths("model"), changed, f"{lake.root}/tables")
+            continue
+        if incremental:
             bronze = LatestStore(spark, lake.root, entity, ["id"]).advance()
         else:
             bronze = read_bronze(spark, entity, lake.root)
         publish_table(model(bronze), table, f"{lake.root}/tables")
 
 
+def cart_runs(spark: SparkSession, lake: Lake) -> RunStore:
+    return RunStore(spark, lake.root, "carts", ["id"], stg_carts)
+
+
+def attach(spark: SparkSession, lake: Lake) -> None:
+    """Register the staging tables of earlier runs in a session without a metastore; known ones stay as they are."""
+    ensure_namespaces(spark)
+    for table, (entity, _) in _STAGING.items():
+        if entity == "carts" and not spark.catalog.tableExists(table):
+            store = cart_runs(spark, lake)
+            if store.runs():
+                publish_partitions(spark, table, store.schema(), RUN, store.paths("model"), (), f"{lake.root}/tables")
+                continue
+        attach_table(spark, table, f"{lake.root}/tables")
+
+
 def snapshot(spark: SparkSession, lake: Lake, now: datetime) -> None:
     """Compare staging with the open versions and record what changed."""
+    attach(spark, lake)
     for name, table in _SNAPSHOT_SOURCE.items():
         lake.history(spark, name).advance(spark.table(table), now)
 
 
 def publish(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
     """Publish the star as views over the latest snapshots and staging tables."""
+    attach(spark, lake)
     products = dim_product(lake.history(spark, "products").read())
     customers = dim_customer(lake.history(spark, "customers").read())
     dates = dim_date(spark)
@@ -115,18 +139,30 @@ def publish(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
 
 
 def check(spark: SparkSession, lake: Lake) -> dict[str, int]:
-    """The required columns of the bronze tables; raises ``CheckFailed`` on any NULL."""
-    return run_checks(
-        check_not_null(read_bronze(spark, entity, lake.root), columns, f"raw.{entity}.")
-        for entity, columns in REQUIRED_COLUMNS.items()
-    )
+    """The required columns of the bronze tables; raises ``CheckFailed`` on any NULL.
+
+    NULLs were counted while each batch was loaded; only batches without such a note are scanned.
+    """
+    results: dict[str, int] = {}
+    scans = []
+    for entity, columns in REQUIRED_COLUMNS.items():
+        done, _ = committed_batches(spark, entity, lake.root)
+        notes = BatchLedger(spark, lake.root, entity).notes()
+        for column in columns:
+            known = sum(notes[b]["nulls"].get(column, 0) for b in done if b in notes)
+            results[f"raw.{entity}.{column} not_null"] = known
+        unknown = [b for b in done if b not in notes]
+        if unknown:
+            rows = bronze_batches(spark, entity, lake.root).filter(F.col("batch").isin(*unknown))
+            scans.append(check_not_null(rows, columns, f"raw.{entity}."))
+    return settle(results, scans)
 
 
 def refresh(
     spark: SparkSession,
     lake: Lake,
     now: datetime,
-    layout: str = "lines",
+    layout: str | None = None,
     incremental: bool = False,
 ) -> dict[str, dict[str, int]]:
     """All steps in order. A failing step stops the run; rerun from that step."""
@@ -138,11 +174,22 @@ def refresh(
     return loaded
 
 
+def loaded_rows(spark: SparkSession, lake: Lake, entity: str) -> int:
+    """Rows of a bronze table, added up from the notes of its batches; batches without one are counted."""
+    done, _ = committed_batches(spark, entity, lake.root)
+    notes = BatchLedger(spark, lake.root, entity).notes()
+    unknown = [b for b in done if b not in notes]
+    rows = sum(notes[b]["counts"]["loaded"] for b in done if b in notes)
+    if unknown:
+        rows += bronze_batches(spark, entity, lake.root).filter(F.col("batch").isin(*unknown)).count()
+    return rows
+
+
 def expected_counts(spark: SparkSession, lake: Lake) -> dict[str, int]:
-    """Rows per table after a run, counted in one job."""
-    frames = {f"raw.{e}": read_bronze(spark, e, lake.root) for e in ENTITY_SPECS}
-    frames |= {table: spark.table(table) for table in _STAGING}
+    """Rows per table after a run: of bronze from the batches' notes, the others counted in one job."""
+    frames = {table: spark.table(table) for table in _STAGING}
     frames |= {f"snapshot.{n}": lake.history(spark, n).read() for n in HISTORY_SPECS}
     frames |= {n: spark.table(n) for n in ("dim_date", "dim_product", "dim_customer", "fact_order_items")}
     counts = batch_counts(frames).filter(F.col("entity") != "total").collect()
-    return {row["entity"]: row["records"] for row in counts}
+    found = {f"raw.{e}": loaded_rows(spark, lake, e) for e in ENTITY_SPECS}
+    return found | {row["entity"]: row["records"] for row in counts}

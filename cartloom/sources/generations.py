@@ -27,6 +27,13 @@ class Generations:
             return []
         return [entry.getPath().getName() for entry in fs.listStatus(folder)]
 
+    def put(self, path: str, text: str) -> None:
+        """Replace a small file."""
+        fs, target = self._fs(path)
+        stream = fs.create(target, True)
+        stream.write(bytearray(text.encode()))
+        stream.close()
+
     def last(self) -> tuple[int, int] | None:
         """``(generation, mark)`` of the newest commit."""
         names = [n for n in self.children(f"{self.root}/{_COMMITS}") if n[0].isdigit()]
@@ -40,10 +47,13 @@ class Generations:
         fs, marker = self._fs(f"{self.root}/{_COMMITS}/{generation:06d}-{mark}")
         fs.create(marker, False).close()
 
+    def drop(self, path: str) -> None:
+        fs, folder = self._fs(path)
+        if fs.exists(folder):
+            fs.delete(folder, True)
+
     def drop_before(self, generation: int, within: str = "") -> None:
         """Delete older generations, or only their part ``within``."""
         for name in self.children(self.root):
             if name.startswith("gen=") and int(name[4:]) < generation:
-                fs, folder = self._fs(f"{self.root}/{name}/{within}".rstrip("/"))
-                if fs.exists(folder):
-                    fs.delete(folder, True)
+                self.drop(f"{self.root}/{name}/{within}".rstrip("/"))

@@ -11,56 +11,21 @@ from pyspark.sql import types as T
 
 from ..functions.dates import landing_key
 from ..operators.bronze import RECORD, REJECTED, bind_entity
-from ..schemas import BRONZE, entity_spec
+from ..schemas import BRONZE, REQUIRED_COLUMNS, entity_spec
 from .generations import Generations
+from .json_scan import listed_files, scan_files
+from .ledger import BatchLedger, unseen_files
 
-_END = "end of the text, read by cartloom"
 _WRITE_OPTIONS = {
     "ignoreNullFields": "false",
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
 }
 
 
-def records_of(reader, paths: str | Sequence[str], layout: str = "array") -> DataFrame:
-    """Landed records as VARIANT rows ``(_file, _row_tag, _record)``.
-
-    ``reader`` is ``spark.read`` or ``spark.readStream``. ``array`` files hold one JSON array
-    (or one object) each; the outer array is stripped, and a single bad element stays isolated
-    because elements are not bound to a schema here. Such a file is one task. ``lines`` files
-    hold one record per line and split. Text that cannot be parsed, or goes on after its first value, becomes
-    one row with a NULL record, so a file read in the wrong layout is rejected and never loaded in part.
-    Compression is detected from the file name.
-    """
-    if layout not in ("array", "lines"):
-        raise ValueError(f"unknown layout {layout!r}")
-    whole = layout == "array"
-    raw = reader.format("text").option("wholetext", whole).load(paths)
-    raw = raw.filter(F.col("value").rlike(r"\S"))
-    # The parser stops after the first value; a last element of our own shows that it read the text to its end.
-    closed = F.concat(F.lit("["), "value", F.lit(f',"{_END}"]'))
-    parsed = raw.select(
-        F.col("_metadata.file_path").alias("_file"),
-        F.try_parse_json(closed).alias("_closed"),
-        (F.lit(0).cast("bigint") if whole else F.xxhash64("value")).alias("_line"),
-    )
-    read = F.try_variant_get("_closed", "$[1]", "string") == _END
-    document = F.when(read, F.try_variant_get("_closed", "$[0]", "variant"))
-    documents = parsed.select("_file", document.alias("_document"), "_line")
-    elements = F.coalesce(
-        F.try_variant_get("_document", "$", "array<variant>"), F.array("_document")
-    )
-    exploded = documents.select(
-        "_file", "_line", F.posexplode(elements).alias("_position", RECORD)
-    )
-    tag = F.col("_position").cast("bigint") if layout == "array" else F.xxhash64("_line", "_position")
-    return exploded.select("_file", tag.alias("_row_tag"), RECORD)
-
-
-def read_json_batch(
-    spark: SparkSession, paths: str | Sequence[str], layout: str = "array"
-) -> DataFrame:
-    """Scan a landing prefix, one named batch, or a list of either."""
-    return records_of(spark.read, paths, layout)
+def read_json_batch(spark: SparkSession, paths: str | Sequence[str], layout: str | None = None) -> DataFrame:
+    """Scan a landing prefix, one named batch, or a list of either, each file in the layout it has (see ``scan_files``)."""
+    files = [row["_file"] for row in listed_files(spark.read, paths).collect()]
+    return scan_files(spark, files, layout)
 
 
 def land_json(df: DataFrame, entity: str, root: str, now: datetime) -> str:
@@ -85,14 +50,17 @@ def write_bronze(bound: DataFrame, entity: str, root: str, batch: str) -> dict[s
     """Append one bound batch and return its parsed, loaded and rejected counts.
 
     Good rows and rejects leave in one write, split by partition, and the counts ride along on
-    the same job. The batch has its own folder, which a retry overwrites instead of appending.
+    the same job, with the NULLs of the required columns; all are kept beside the batch once it is complete.
+    The batch has its own folder, which a retry overwrites instead of appending.
     """
     metrics = Observation()
+    required = REQUIRED_COLUMNS.get(entity_spec(entity).name, ())
     counted = bound.observe(
         metrics,
         F.count("*").alias("parsed"),
         F.count_if(~F.col(REJECTED)).alias("loaded"),
         F.count_if(F.col(REJECTED)).alias("rejected"),
+        *[F.count_if(~F.col(REJECTED) & F.col(c).isNull()).alias(f"null {c}") for c in required],
     )
     (
         counted.withColumnRenamed(REJECTED, "rejected")
@@ -100,7 +68,11 @@ def write_bronze(bound: DataFrame, entity: str, root: str, batch: str) -> dict[s
         .partitionBy("rejected")
         .parquet(f"{bronze_path(root, entity)}/batch={batch}")
     )
-    return {name: int(value or 0) for name, value in metrics.get.items()}
+    found = {name: int(value or 0) for name, value in metrics.get.items()}
+    counts = {name: found.pop(name) for name in ("parsed", "loaded", "rejected")}
+    nulls = {name.removeprefix("null "): value for name, value in found.items()}
+    BatchLedger(bound.sparkSession, root, entity).note(batch, counts, nulls)
+    return counts
 
 
 def _stored_bronze(spark: SparkSession, entity: str, root: str) -> DataFrame:
@@ -127,15 +99,26 @@ def committed_batches(spark: SparkSession, entity: str, root: str) -> tuple[list
     return ids(done), ids(set(names) - done)
 
 
-def not_loaded(bound: DataFrame, entity: str, root: str, batch: str) -> DataFrame:
-    """Rows of files that no other batch holds. Bronze itself is the ledger, so rows and entry are one write."""
-    spark = bound.sparkSession
-    done, torn = committed_batches(spark, entity, root)
-    if not set(done) - {batch}:
-        return bound
-    seen = _stored_bronze(spark, entity, root).filter(~F.col("batch").isin(batch, *torn))
-    seen = seen.select(F.col("_file").alias("__seen")).distinct()
-    return bound.join(seen, F.col("_file") == F.col("__seen"), "left_anti")
+def not_loaded(files: DataFrame, entity: str, root: str, batch: str) -> DataFrame:
+    """``_file`` of the listed files that no other complete batch holds; read from the ledger, never from bronze rows.
+
+    Only batches written before there was a ledger are looked up in bronze.
+    """
+    spark = files.sparkSession
+    done, _ = committed_batches(spark, entity, root)
+    others = set(done) - {batch}
+    ledger = BatchLedger(spark, root, entity)
+    seen = ledger.files().filter(F.col("batch").isin(*others)) if len(others) < 1000 else ledger.files()
+    listed = ledger.batches()
+    stale = listed - others
+    if len(others) >= 1000 and stale:
+        seen = seen.filter(~F.col("batch").isin(*stale))
+    seen = seen.select("_file")
+    older = others - listed
+    if older:
+        rows = _stored_bronze(spark, entity, root).filter(F.col("batch").isin(*older))
+        seen = seen.unionByName(rows.select("_file"))
+    return unseen_files(files, seen, "_file")
 
 
 def bronze_batches(spark: SparkSession, entity: str, root: str) -> DataFrame:
@@ -152,27 +135,39 @@ def read_bronze(spark: SparkSession, entity: str, root: str, rejects: bool = Fal
     return bronze_batches(spark, entity, root).drop("batch")
 
 
+def load_files(
+    spark: SparkSession, files: DataFrame, entity: str, root: str, batch: str, layout: str | None = None, force: bool = False
+) -> dict[str, int]:
+    """Load listed files as one batch, those left out that another complete batch holds.
+
+    The ledger names the batch's files first; the entry counts once the batch is complete.
+    """
+    spec = entity_spec(entity)
+    fresh = files.distinct() if force else not_loaded(files, entity, root, batch)
+    names = [row["_file"] for row in fresh.collect()]  # file names, which the reader lists on the driver anyway
+    BatchLedger(spark, root, entity).enter(batch, names)
+    return write_bronze(bind_entity(scan_files(spark, names, layout), spec), entity, root, batch)
+
+
 def load_bronze(
     spark: SparkSession,
     entity: str,
     path: str | Sequence[str],
     root: str,
     batch: str,
-    layout: str = "array",
+    layout: str | None = None,
     force: bool = False,
 ) -> dict[str, int]:
-    """Load named landed files into bronze under batch id ``batch``.
+    """Load named landed files into bronze under batch id ``batch``, each in the layout it has.
 
     Files that another batch holds are left out, whichever way they were loaded, unless ``force`` is given.
     """
-    spec = entity_spec(entity)
-    bound = bind_entity(read_json_batch(spark, path, layout), spec)
-    bound = bound if force else not_loaded(bound, entity, root, batch)
-    return write_bronze(bound, entity, root, batch)
+    entity_spec(entity)
+    return load_files(spark, listed_files(spark.read, path), entity, root, batch, layout, force)
 
 
 def load_run(
-    spark: SparkSession, locations: Mapping[str, str], root: str, run_id: str, layout: str = "lines"
+    spark: SparkSession, locations: Mapping[str, str], root: str, run_id: str, layout: str | None = None
 ) -> dict[str, dict[str, int]]:
     """Load the batch of every entity of one run; loading the same run again changes nothing."""
     for entity in locations:

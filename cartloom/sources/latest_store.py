@@ -6,6 +6,7 @@ arrived. Both give the same rows, because keeping the latest is associative.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,26 @@ from .generations import Generations
 from .json_batches import bronze_batches, committed_batches
 
 
+class MergedBatches:
+    """The batch names that a committed generation holds, kept beside it."""
+
+    def __init__(self, generations: Generations):
+        self.generations = generations
+
+    def _path(self, generation: int) -> str:
+        return f"{self.generations.root}/_merged/{generation:06d}.json"
+
+    def read(self) -> set[str]:
+        commit = self.generations.last()
+        if commit is None:
+            return set()
+        found = self.generations.spark.read.text(self._path(commit[0])).collect()
+        return set(json.loads(found[0]["value"]))
+
+    def write(self, generation: int, batches: set[str]) -> None:
+        self.generations.put(self._path(generation), json.dumps(sorted(batches)))
+
+
 class LatestStore:
     def __init__(self, spark: SparkSession, root: str, entity: str, keys: Sequence[str]):
         self.spark = spark
@@ -24,6 +45,7 @@ class LatestStore:
         self.entity = entity
         self.keys = list(keys)
         self.generations = Generations(spark, f"{root}/latest/{entity}")
+        self.merged = MergedBatches(self.generations)
 
     def read(self) -> DataFrame | None:
         commit = self.generations.last()
@@ -33,24 +55,18 @@ class LatestStore:
         return self.spark.read.schema(schema).parquet(self.generations.path(commit[0]))
 
     def advance(self) -> DataFrame:
-        """Merge the batches that the streams wrote since the last call; returns the result.
+        """Merge the complete batches that no earlier call merged; returns the result.
 
-        Stream batches are numbered, so the commit remembers how far it has come. A batch counts once it is
-        written to its end; one that failed half-way is merged after its replay.
+        The commit names the batches it holds, so they may have any name and become complete in any order. One
+        that failed half-way is merged after its replay.
         """
-        batches, _ = committed_batches(self.spark, self.entity, self.root)
-        if not all(b.isdigit() for b in batches):
-            raise ValueError("incremental staging needs batches numbered by ingest_new_files")
-        ids = [int(b) for b in batches]
-        newest = max(ids, default=-1)
+        done, _ = committed_batches(self.spark, self.entity, self.root)
+        merged = self.merged.read()
+        new = sorted(set(done) - merged)
         commit = self.generations.last()
-        if commit and commit[1] >= newest:
+        if commit and not new:
             return self.read()
-        arrived = bronze_batches(self.spark, self.entity, self.root).filter(
-            F.col("batch") <= f"{newest:012d}"
-        )
-        if commit:
-            arrived = arrived.filter(F.col("batch") > f"{commit[1]:012d}")
+        arrived = bronze_batches(self.spark, self.entity, self.root).filter(F.col("batch").isin(*new))
         rows = arrived.select(*BRONZE[self.entity].fieldNames())
         known = self.read()
         if known is not None:
@@ -58,6 +74,7 @@ class LatestStore:
         generation = commit[0] + 1 if commit else 1
         latest = latest_per_key(rows, self.keys, bronze_order())
         latest.write.mode("overwrite").parquet(self.generations.path(generation))
-        self.generations.commit(generation, newest)
+        self.merged.write(generation, merged | set(new))
+        self.generations.commit(generation, len(merged) + len(new) - 1)
         self.generations.drop_before(generation - 1)
         return self.read()
