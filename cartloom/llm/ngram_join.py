@@ -169,16 +169,21 @@ def candidates(frame: pd.DataFrame, edges: np.ndarray) -> Iterator[tuple[np.ndar
 
 
 def best_partners(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """For each point its best partner in another component, by how far the bound exceeds the need."""
+    """For each point of a group its best partner in another component, by how far the bound exceeds the need: at most one row a point."""
     for frame, edges in _whole_groups(batches, ["key", "left", "right"]):
         ids, sizes = frame["doc_id"].to_numpy(), frame["n_shingles"].to_numpy()
+        best, partner = np.zeros(len(ids)), np.zeros(len(ids), np.int64)
         for i, j, bound in candidates(frame, edges):
             score = bound / needed(sizes[i], sizes[j])
             i, j, score = np.r_[i, j], np.r_[j, i], np.r_[score, score]
-            order = np.lexsort((ids[j], -score, ids[i]))
-            if len(order):
-                first = order[np.r_[True, np.diff(ids[i][order]) != 0]]
-                yield pd.DataFrame({"doc_id": ids[i[first]], "partner": ids[j[first]], "score": score[first]})
+            order = np.lexsort((ids[j], -score, i))
+            first = order[np.r_[True, np.diff(i[order]) != 0]] if len(order) else order
+            i, other, score = i[first], ids[j[first]], score[first]
+            better = (score > best[i]) | ((score == best[i]) & (other < partner[i]))
+            best[i[better]], partner[i[better]] = score[better], other[better]
+        found = np.flatnonzero(best)
+        if len(found):
+            yield pd.DataFrame({"doc_id": ids[found], "partner": partner[found], "score": best[found]})
 
 
 def all_partners(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -254,10 +259,11 @@ def near_duplicates(docs: DataFrame, tile: int = TILE) -> DataFrame:
     classes = table.where("n_shingles > 0").groupBy(*sets).agg(F.min("doc_id").alias("rep"))
     classes = written(classes)
     points = table.select("doc_id", "keys").join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
-    postings = written(points.select(F.explode("keys").alias("key"), "doc_id"))
-    shared = postings.groupBy("key").count().where("count > 1").select("key")
+    # Most postings stand alone, so they are read from the index twice rather than stored.
+    postings = points.select(F.explode("keys").alias("key"), "doc_id")
+    shared = written(postings.groupBy("key").count().where("count > 1").select("key"))
     together = written(postings.join(shared, "key"))
-    dropped(postings)
+    dropped(shared)
     hashed = F.xxhash64("doc_id")
     blocks = together.groupBy("key").agg(
         F.count("*").alias("n"), F.bit_xor(hashed).alias("x"), F.sum(hashed.bitwiseAND(0x7FFFFFFF)).alias("y")

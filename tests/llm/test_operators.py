@@ -6,10 +6,13 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
-from cartloom.llm import decontaminate, html_text, licenses, ngram_join, packing, personal_data, quality, rtree
+from cartloom.llm import decontaminate, html_text, licenses, native, ngram_join, packing, personal_data, quality, rtree
 from cartloom.llm import secrets, sharding, suffix_dedup, tagger
 from cartloom.llm.components import components
 from cartloom.llm.queries import QUERIES, tokenizer_path
@@ -394,22 +397,88 @@ def test_page_text_after_unclosed_raw_tags():
     assert [t for t in texts if t] == ["He was is really BBC here"]
 
 
-def test_pipeline(spark, rows):
-    sf = "/root/testdata/sf0.001"
-    given = spark.read.parquet(f"{sf}/documents.parquet")
-    docs = given
+def sentence(seed, n=90):
+    rng = np.random.default_rng(seed)
+    return " ".join("".join(rng.choice(list("bdfgklmnprstvaeiou"), 6)) for _ in range(n))
+
+
+def test_pipeline_run(spark, tmp_path):
+    """`run` against decisions known by construction: rows without ids, with shared ids, repeated, near copies, leaked, short."""
+    a, b, c, d, e, leak = map(sentence, range(6))
+    near = " ".join(["changed", *c.split()[1:]])
+    mail = d + " write to jo.doe@mail.example.org now"
+    passage = " ".join(leak.split()[20:40])
+    given = [
+        (None, a), (None, a), (1, a), (1, a), (2, b), (3, c), (3, b), (9, near), (None, leak), (7, leak + " more"), (7, mail),
+        (8, "too short"), (10, None), (None, None), (11, ""), (None, e), (None, e),
+    ]
+    frame = spark.createDataFrame([(i, t, "en", "web", len(t or "")) for i, t in given], "doc_id long, text string, lang string, source string, n_chars long")
+    sf = str(tmp_path)
+    frame.repartition(4).write.parquet(f"{sf}/documents.parquet")
+    spark.createDataFrame([(1, passage)], "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet")
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
     for name, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, sf)
-        assert docs.columns == given.columns, name
-    kept = {r["doc_id"] for r in quality.quality_rules(given).where("kept").collect()}
-    texts = [(d, t) for d, t in rows if d in kept]
-    kept = {d for d, (_, c) in brute_components(texts).items() if d == c}
-    bench = spark.read.parquet(f"{sf}/benchmark.parquet")
-    found = decontaminate.decontaminate(given, bench).where("NOT contaminated").collect()
-    kept &= {r["doc_id"] for r in found}
-    assert {r["doc_id"] for r in docs.collect()} == kept
-    assert {r["doc_id"] for r in packing.pack(docs, tokenizer_path()).collect()} == kept
+        assert docs.columns == frame.columns, name
+    expected = {(1, a), (2, b), (3, c), (7, mail.replace("jo.doe@mail.example.org", "[EMAIL]")), (None, e)}
+    found = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    assert sorted(found, key=str) == sorted(expected, key=str)
+
+    pieces = corpus_pipeline.run(spark, sf).collect()
+    raw = Tokenizer.from_file(tokenizer_path())
+    for doc, text in expected:
+        ids = np.array([*raw.encode(text, add_special_tokens=False).ids, 0], np.uint32)
+        held = sorted((r for r in pieces if r["doc_id"] == doc), key=lambda r: r["start"])
+        assert sum(r["length"] for r in held) == len(ids)
+        for r in held:
+            assert zlib.crc32(ids[r["start"] : r["start"] + r["length"]].tobytes()) == r["ids_crc32"]
+    assert {r["doc_id"] for r in pieces} == {doc for doc, _ in expected}
+
+
+def test_pipeline_of_nothing(spark, tmp_path):
+    sf = str(tmp_path)
+    spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{sf}/documents.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, sf).count() == 0
+
+
+def test_sharding_of_repeated_rows(spark, monkeypatch):
+    rows = [(1, "t" * 200)] * 800 + [(i, "t" * 150 + str(i)) for i in range(200)] + [(None, "n" * 90)] * 800
+    docs = spark.createDataFrame([(*r, "key") for r in rows], "doc_id long, text string, part string").repartition(6)
+    for size in (sharding.RANGE_BYTES, 100):
+        monkeypatch.setattr(sharding, "RANGE_BYTES", size)
+        found = sharding.shard(docs).collect()
+        bytes_, slots = defaultdict(int), defaultdict(list)
+        for r in found:
+            bytes_[r["shard"]] += r["size"]
+            slots[r["shard"]].append(r["slot"])
+        assert len(found) == len(rows) and len(bytes_) == 8
+        assert max(bytes_.values()) - min(bytes_.values()) <= 2 * 201
+        assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def test_secrets_in_very_long_texts(spark):
+    gh = "ghp_abcdefghijklmnopqrstuvwxyz0123456789"
+    texts = ["a" * 10**6, "x1-" * 300000, "." * 10**6, "Ab9/" * 200000 + gh, " ".join(f"token=k{i:07d}QRST" for i in range(2000))]
+    found = by_id(secrets.secret_scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))
+    assert [found[i]["n_candidates"] for i in range(5)] == [1, 1, 0, 2, 2000]
+
+
+def test_match_places(spark):
+    texts = ["a1 " * n + "z" for n in (0, 1, 255, 256, 257, 700)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    for text, found in df.select("text", native.match_places(F.col("text"), "[a-z]1")).collect():
+        assert [(x["at"], x["value"]) for x in found] == [(m.start(), m.group()) for m in re.finditer("[a-z]1", text)]
+
+
+def test_best_partners_of_equal_points():
+    counts = np.random.default_rng(0).poisson(0.5, ngram_join.GROUPS).astype(np.uint8)
+    for n in (2, 16, 64, 500):
+        frame = pd.DataFrame({"key": [1] * n, "left": 0, "right": 0, "tile": 0, "doc_id": np.arange(n), "component": np.arange(n)})
+        frame["n_shingles"], frame["counts"] = int(counts.sum()), [counts.tobytes()] * n
+        found = pd.concat(ngram_join.best_partners(iter([frame])))
+        assert sorted(found["doc_id"]) == list(range(n)) and set(found["partner"]) == {0, 1}
 
 
 def test_registered():
-    assert sorted({int(name[2:].split("_")[0]) for name in QUERIES}) == list(range(1, 11))
+    assert sorted({int(name[2:].split("_")[0]) for name in QUERIES}) == list(range(1, 14))
