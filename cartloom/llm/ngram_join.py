@@ -276,19 +276,24 @@ def near_duplicates(docs: DataFrame, tile: int = TILE) -> DataFrame:
     vectors = written(table.select("doc_id", "n_shingles", "counts").join(involved, "doc_id", "left_semi"))
     texts = written(docs.select("doc_id", "text").join(involved, "doc_id", "left_semi"))
 
-    links = written(verified(_one_each(_dealt(members, vectors, None, 0)), texts))
+    # Pairs are written before they are verified, so that the shuffles of vectors and of texts are never held together.
+    pairs = written(_one_each(_dealt(members, vectors, None, 0)))
+    links = written(verified(pairs, texts))
+    dropped(pairs)
     for turn in range(1, TURNS):
         parts = written(components(links, "a", "b"))
-        found = written(verified(_one_each(_dealt(members, vectors, parts, turn)), texts))
+        pairs = written(_one_each(_dealt(members, vectors, parts, turn)))
+        found = written(verified(pairs, texts))
         last, links = links, written(links.unionByName(found))
         done = found.isEmpty()
-        dropped(last, parts, found)
+        dropped(last, parts, pairs, found)
         if done:
             break
     parts = written(components(links, "a", "b"))
-    rest = _dealt(members, vectors, parts, None).mapInPandas(all_partners, "a long, b long").distinct()
+    rest = written(_dealt(members, vectors, parts, None).mapInPandas(all_partners, "a long, b long").distinct())
+    dropped(members, vectors, parts)
     more = written(links.unionByName(verified(rest, texts)))
-    dropped(members, vectors, texts, links, parts)
+    dropped(texts, links, rest)
 
     parts = components(more, "a", "b")
     dropped(more)
