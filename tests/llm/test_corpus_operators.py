@@ -207,21 +207,23 @@ def test_corpus_model_predicts_held_out_texts(spark):
     assert mixed < 0.65 * plain
 
 
-def plain_bits(text, odds):
+def plain_bits(text, odds, code):
     """The mixture of one text, one bit at a time."""
     data = np.frombuffer(text, np.uint8)
     full, offsets = mixing.with_ends(data, np.array([0, len(data)]))
     base, spent = mixing.contexts(full, offsets), 0.0
     for at, byte in enumerate(full.tolist()):
         if at % mixing.SEGMENT == 0:
-            weights = np.full((8, 2, mixing.CONTEXTS), mixing.WEIGHT * float(mixing._SCALE))
-        for k in range(8):
-            node, bit = (byte | 256) >> (8 - k), byte >> (7 - k) & 1
-            x = odds[k][mixing.slots(base[:, at : at + 1], np.array([node], np.uint32))[:, 0]].astype(float)
-            w = weights[k, 0 if x[-1] else 1]
+            weights = np.full((2, mixing.CONTEXTS), mixing.WEIGHT * float(mixing._SCALE))
+        node = 1
+        for k, bit in enumerate(map(int, format(code.word[byte], f"0{code.length[byte]}b"))):
+            slot = mixing.slots(base[:, at : at + 1], np.array([node], np.uint32))[:, 0]
+            x = odds[min(k, mixing.PLACES - 1)][slot].astype(float)
+            w = weights[0 if x[-1] else 1]
             p = 1 / (1 + math.exp(-max(-8, min(8, float(w @ x)))))
             spent -= math.log2(p if bit else 1 - p)
             w += x * (bit - p) * float(mixing.RATE)
+            node = 2 * node + bit
     return spent
 
 
@@ -229,15 +231,26 @@ def test_mixing_against_one_bit_at_a_time():
     texts = [b"", b"a", "Grüße an alle, grüße an alle".encode(), b"the cat and the dog " * 60, b"x" * 1200]
     data = np.frombuffer(b"".join(texts), np.uint8)
     offsets = np.cumsum([0] + [len(t) for t in texts])
-    counts = np.zeros((8, 2 * mixing.CONTEXTS << mixing.BITS), np.int64)
-    mixing.count(counts, data, offsets)
-    assert counts.sum() == 8 * mixing.CONTEXTS * (len(data) + len(texts))
-    odds = mixing.log_odds(counts.reshape(8, -1, 2))
-    together = mixing.bits_of(data, offsets, odds)
+    full, _ = mixing.with_ends(data, offsets)
+    code = mixing.code_of(np.bincount(full, minlength=256))
+    counts = np.zeros((mixing.PLACES, 2 * mixing.CONTEXTS << mixing.BITS), np.int64)
+    mixing.count(counts, data, offsets, code)
+    assert counts.sum() == mixing.CONTEXTS * code.length[full].sum()
+    odds = mixing.log_odds(counts.reshape(mixing.PLACES, -1, 2))
+    together = mixing.bits_of(data, offsets, odds, code)
     for text, bits in zip(texts, together):
-        alone = mixing.bits_of(np.frombuffer(text, np.uint8), np.array([0, len(text)]), odds)[0]
+        alone = mixing.bits_of(np.frombuffer(text, np.uint8), np.array([0, len(text)]), odds, code)[0]
         assert abs(alone - bits) < 1e-9
-        assert abs(alone - plain_bits(text, odds)) < 1e-3 * (1 + bits)
+        assert abs(alone - plain_bits(text, odds, code)) < 1e-3 * (1 + bits)
+
+
+@pytest.mark.parametrize("counts", [[0] * 256, [2**i if i < 60 else 0 for i in range(256)], [10**15] + [0] * 255])
+def test_words_of_bytes_are_a_whole_prefix_code(counts):
+    code = mixing.code_of(np.array(counts, dtype=object))
+    words = sorted(format(w, f"0{n}b") for w, n in zip(code.word, code.length))
+    assert not any(b.startswith(a) for a, b in zip(words, words[1:]))
+    assert sum(2.0 ** -int(n) for n in code.length) == 1 and code.length.max() <= mixing.LONGEST
+    assert code.length[np.argmax(counts)] == code.length.min()
 
 
 def test_contexts_depend_on_the_text_before_alone():
