@@ -158,7 +158,13 @@ def cart_bronze(spark: SparkSession, sf: str) -> DataFrame:
     A cart holds ``o_orderkey % 4`` items made from the order itself (none, or no array at all
     for some), so a document has a fixed upper size and no rows are gathered to build it.
     """
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    # What the loads of an order share is made before they are told apart, so once.
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey",
+        "o_custkey",
+        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("date"),
+        cart_items().alias("products"),
+    )
     rows = orders.select(
         "*",
         _loads(
@@ -168,8 +174,8 @@ def cart_bronze(spark: SparkSession, sf: str) -> DataFrame:
     record = F.struct(
         F.col("o_orderkey").alias("id"),
         F.col("o_custkey").alias("userId"),
-        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("date"),
-        cart_items().alias("products"),
+        "date",
+        "products",
         *_stamp("carts"),
     )
     return _bronze(rows, "carts", record)
