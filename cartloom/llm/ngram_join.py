@@ -194,8 +194,10 @@ def all_partners(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
 
 
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs whose sets reach the similarity, decided on the texts themselves."""
+def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """Pairs whose sets reach the similarity, decided on the texts themselves, of which only those of pairs are moved."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    texts = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
 
@@ -274,16 +276,15 @@ def near_duplicates(docs: DataFrame, tile: int = TILE) -> DataFrame:
     dropped(together)
     involved = members.select("doc_id").distinct()
     vectors = written(table.select("doc_id", "n_shingles", "counts").join(involved, "doc_id", "left_semi"))
-    texts = written(docs.select("doc_id", "text").join(involved, "doc_id", "left_semi"))
 
-    # Pairs are written before they are verified, so that the shuffles of vectors and of texts are never held together.
+    # Texts are read from the input at each verification, not copied. Pairs are written before they are verified, so that the shuffles of vectors and of texts are never held together.
     pairs = written(_one_each(_dealt(members, vectors, None, 0)))
-    links = written(verified(pairs, texts))
+    links = written(verified(pairs, docs))
     dropped(pairs)
     for turn in range(1, TURNS):
         parts = written(components(links, "a", "b"))
         pairs = written(_one_each(_dealt(members, vectors, parts, turn)))
-        found = written(verified(pairs, texts))
+        found = written(verified(pairs, docs))
         last, links = links, written(links.unionByName(found))
         done = found.isEmpty()
         dropped(last, parts, pairs, found)
@@ -292,8 +293,8 @@ def near_duplicates(docs: DataFrame, tile: int = TILE) -> DataFrame:
     parts = written(components(links, "a", "b"))
     rest = written(_dealt(members, vectors, parts, None).mapInPandas(all_partners, "a long, b long").distinct())
     dropped(members, vectors, parts)
-    more = written(links.unionByName(verified(rest, texts)))
-    dropped(texts, links, rest)
+    more = written(links.unionByName(verified(rest, docs)))
+    dropped(links, rest)
 
     parts = components(more, "a", "b")
     dropped(more)
