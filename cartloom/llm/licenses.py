@@ -255,10 +255,10 @@ def detections(words: Column) -> Column:
 
     def found(r: Column) -> Column:
         return F.transform(
-            match_places(words, r["pattern"]),
+            match_places(words, r["pattern"], _blanks),
             lambda m: F.struct(
-                (_blanks(F.substring(words, F.lit(1), m["at"])) - 1).cast("long").alias("first"),
-                (_blanks(F.substring(words, F.lit(1), m["at"])) + _blanks(m["value"])).cast("long").alias("last"),
+                (m["at"] - 1).cast("long").alias("first"),
+                (m["at"] + _blanks(m["value"])).cast("long").alias("last"),
                 r["label"].alias("label"),
                 r["priority"].alias("priority"),
                 r["score"].alias("score"),
@@ -269,17 +269,39 @@ def detections(words: Column) -> Column:
     return F.flatten(F.transform(held, found))
 
 
-def surviving(every: Column) -> Column:
-    def beats(b: Column, a: Column) -> Column:
-        contains = (b["first"] <= a["first"]) & (b["last"] >= a["last"])
-        longer = (b["last"] - b["first"]) > (a["last"] - a["first"])
-        overlaps = (b["first"] < a["last"]) & (a["first"] < b["last"])
-        better = b["priority"] < a["priority"]
-        # A longer detection wins over one inside it; otherwise priority decides.
-        inside_other = (a["first"] <= b["first"]) & (a["last"] >= b["last"]) & ~(contains & ~longer)
-        return (contains & (longer | better)) | (overlaps & better & ~contains & ~inside_other)
+def beats(b: Column, a: Column) -> Column:
+    contains = (b["first"] <= a["first"]) & (b["last"] >= a["last"])
+    longer = (b["last"] - b["first"]) > (a["last"] - a["first"])
+    overlaps = (b["first"] < a["last"]) & (a["first"] < b["last"])
+    better = b["priority"] < a["priority"]
+    # A longer detection wins over one inside it; otherwise priority decides.
+    inside_other = (a["first"] <= b["first"]) & (a["last"] >= b["last"]) & ~(contains & ~longer)
+    return (contains & (longer | better)) | (overlaps & better & ~contains & ~inside_other)
 
-    return F.filter(every, lambda a: a["base"] | ~F.exists(every, lambda b: ~b["base"] & beats(b, a)))
+
+def surviving(rows: DataFrame) -> DataFrame:
+    """`rows` with the detections of column `every` that no other one beats, as column `kept`.
+
+    Only detections that overlap can beat one another, and none is wider than `width` words, so those that start
+    in one stretch of that many words meet those of the stretches beside it: linear in their number.
+    """
+    rows = rows.withColumn("placed", F.array_sort("every"))
+    widest = F.array_max(F.transform("placed", lambda d: d["last"] - d["first"]))
+    rows = rows.withColumn("width", F.greatest(widest, F.lit(1)))
+    placed, starts = F.col("placed"), F.col("starts")
+    stretch = lambda i: F.floor(placed[i]["first"] / F.col("width"))
+    fresh = F.filter(F.sequence(F.lit(0), F.size(placed) - 1), lambda i: (i == 0) | (stretch(i) != stretch(F.greatest(i - 1, F.lit(0)))))
+    rows = rows.withColumn("starts", F.when(F.size(placed) > 0, F.concat(fresh, F.array(F.size(placed)))))
+
+    def piece(low: Column, high: Column) -> Column:
+        return F.slice(placed, starts[low] + 1, starts[high] - starts[low])
+
+    def of_stretch(k: Column) -> Column:
+        near = piece(F.greatest(k - 2, F.lit(0)), F.least(k + 1, F.size(starts) - 1))
+        return F.filter(piece(k - 1, k), lambda a: a["base"] | ~F.exists(near, lambda b: ~b["base"] & beats(b, a)))
+
+    kept = F.flatten(F.transform(F.sequence(F.lit(1), F.size(starts) - 1), of_stretch))
+    return rows.withColumn("kept", F.when(F.size(placed) > 0, kept).otherwise(placed))
 
 
 def _labels(found: Column) -> Column:
@@ -296,7 +318,7 @@ def license_scan(docs: DataFrame) -> DataFrame:
     every = F.when(F.col("words").isNotNull(), detections(F.col("words"))).cast(kind)
     rows = rows.select("doc_id", "n_words", F.coalesce(every, F.array().cast(kind)).alias("every"))
     rows = rows.select("doc_id", "n_words", "every", F.filter("every", lambda d: d["base"]).alias("base"))
-    rows = rows.withColumn("kept", F.when(F.size("every") > 0, surviving(F.col("every"))).otherwise(F.col("every")))
+    rows = surviving(rows)
     first = F.transform("base", lambda d: d["first"])
     return rows.select(
         "doc_id",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,18 +12,21 @@ from pyspark.sql import functions as F
 PART = 256
 
 
-def match_places(text: Column, pattern: Column | str) -> Column:
-    """array<struct<at, value>>: matches with the number of characters before them. Patterns must not match empty text."""
+def match_places(text: Column, pattern: Column | str, measure: Callable[[Column], Column] = F.length) -> Column:
+    """array<struct<at, value>>: matches with the number of characters before them. Patterns must not match empty text.
+
+    `measure` may count something else that adds up over pieces of a text.
+    """
     pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
     found = F.regexp_extract_all(text, pattern, F.lit(0))
     empty = F.array().cast("array<struct<at:int,value:string>>")
 
     def placed(both: Column, first: Column) -> Column:
         def step(state: Column, x: Column) -> Column:
-            at = state["at"] + F.length(x["gap"])
+            at = state["at"] + measure(x["gap"])
             here = F.array(F.struct(at.alias("at"), x["value"].alias("value")))
             out = F.when(x["value"].isNull(), state["out"]).otherwise(F.concat(state["out"], here))
-            return F.struct((at + F.coalesce(F.length(x["value"]), F.lit(0))).alias("at"), out.alias("out"))
+            return F.struct((at + F.coalesce(measure(x["value"]), F.lit(0))).alias("at"), out.alias("out"))
 
         return F.aggregate(both, F.struct(first.alias("at"), empty.alias("out")), step)
 
