@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cache
@@ -28,6 +29,9 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^\"'>]|\"[^\"]*+\"|'[^']*+')*+)>",
     re.S,
 )
+_START = re.compile(r"<(?:[!?]|(/?)([a-zA-Z]))")
+_NAME_END = re.compile(r"[\s/>]")
+_QUOTE_OR_END = re.compile(r"[\"'>]")
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _HIDDEN = re.compile(r"\bhidden\b|display\s*:\s*none", re.I)
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -40,6 +44,7 @@ _INLINE = frozenset(
 _OPTION_ENDS = re.compile(r"</?(?:option|optgroup|select|datalist)(?=[\s/>])", re.I)
 #: Start tags that end an open element of the same group.
 _ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
+_LISTS = ("ul", "ol", "dl", "table")
 _TAGS = (
     "article main nav header footer aside form section div p h1 h2 h3 h4 h5 h6 ul ol li table tr td th "
     "blockquote pre figure figcaption body html head dl dt dd button fieldset details address"
@@ -106,9 +111,70 @@ def _raw_end(tag: str) -> re.Pattern:
     return re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I)
 
 
+class Tags:
+    """The tags of a page in turn, in time linear in its length.
+
+    A tag that is never closed is text, and would be read to the page's end from each "<". After the first one,
+    what follows a place outside quotes is remembered, so that no part is read twice.
+    """
+
+    def __init__(self, page: str):
+        self.page = page
+        self.last = page.rfind(">")
+        self.careful = False
+        self.ends: dict[int, int] = {}
+        self.known: dict[re.Pattern, tuple[int, int]] = {}
+
+    def following(self, at: int) -> tuple[int, int, str, str, str] | None:
+        """(start, end, slash, name, attributes) of the first tag from `at`; comments and the like have no name."""
+        while m := _START.search(self.page, at):
+            found = _TOKEN.match(self.page, m.start()) if not self.careful or not m[2] and self._ends(m.start()) else None
+            if found:
+                return found.start(), found.end(), found[1] or "", found[2] or "", found[3] or ""
+            self.careful = True
+            if m[2]:
+                name = self._next(_NAME_END, m.end())
+                end = self._end(name)
+                if end >= 0:
+                    return m.start(), end + 1, m[1], self.page[m.start(2) : name], self.page[name:end]
+            at = m.start() + 1
+        return None
+
+    def _ends(self, at: int) -> bool:
+        return at < self.last or self.page.startswith(("<!--", "<![CDATA["), at)
+
+    def _next(self, pattern: re.Pattern, at: int) -> int:
+        low, found = self.known.get(pattern, (0, -1))
+        if not low <= at <= found:
+            m = pattern.search(self.page, at)
+            found = m.start() if m else len(self.page)
+            self.known[pattern] = at, found
+        return found
+
+    def _end(self, at: int) -> int:
+        """Where the first ">" outside quotes is, or -1."""
+        passed, at, end = [], self._next(_QUOTE_OR_END, at), -1
+        while at < len(self.page):
+            if at in self.ends:
+                end = self.ends[at]
+                break
+            passed.append(at)
+            if self.page[at] == ">":
+                end = at
+                break
+            closed = self.page.find(self.page[at], at + 1)
+            m = _QUOTE_OR_END.search(self.page, closed + 1) if closed >= 0 else None
+            at = m.start() if m else len(self.page)
+        self.ends.update(dict.fromkeys(passed, end))
+        return end
+
+
 def parse(page: str) -> Tree:
     tree = Tree()
     stack = [("", tree.add(-1, [FEATURES["bias"]]))]
+    #: For each tag, where in the stack it is open.
+    places: dict[str, list[int]] = defaultdict(list)
+    tags = Tags(page)
     pending: list[str] = []
     linked = depth = at = 0
 
@@ -122,8 +188,11 @@ def parse(page: str) -> Tree:
 
     def close(tag: str) -> None:
         flush()
-        while len(stack) > 1 and stack.pop()[0] != tag:
-            pass
+        while len(stack) > 1:
+            top = stack.pop()[0]
+            places[top].pop()
+            if top == tag:
+                break
 
     @cache
     def last_end(tag: str) -> int:
@@ -145,25 +214,25 @@ def parse(page: str) -> Tree:
         return page.find(">", _raw_end(tag).search(page, at).end()) + 1 or len(page)
 
     while at < len(page):
-        m = _TOKEN.search(page, at)
-        gap = page[at : m.start() if m else len(page)]
+        found = tags.following(at)
+        gap = page[at : found[0] if found else len(page)]
         if gap:
             pending.append(gap)
             linked += len(gap) if depth else 0
-        if not m:
+        if not found:
             break
-        at = m.end()
-        tag = (m[2] or "").lower()
+        _, at, slash, tag, attributes = found
+        tag = tag.lower()
         if not tag:
             continue
-        if m[1]:
+        if slash:
             if tag == "a":
                 depth = max(0, depth - 1)
-            elif tag not in _INLINE and any(t == tag for t, _ in stack):
+            elif tag not in _INLINE and places[tag]:
                 close(tag)
             continue
         if tag in _RAW:
-            at = after_raw(tag, m[3], at)
+            at = after_raw(tag, attributes, at)
         elif tag in ("br", "hr", "img", "wbr"):
             pending.append(" " if tag != "wbr" else "")
             if tag == "hr":
@@ -173,18 +242,15 @@ def parse(page: str) -> Tree:
         elif tag not in _INLINE and tag not in _VOID:
             flush()
             depth = 0
-            if any(t == "p" for t, _ in stack):
+            if places["p"]:
                 close("p")
-            ends = _ENDS.get(tag)
-            if ends:
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k][0] in ends:
-                        close(stack[k][0])
-                        break
-                    if stack[k][0] in ("ul", "ol", "dl", "table"):
-                        break
-            if not m[3].rstrip().endswith("/") or tag not in ("div", "p"):
-                stack.append((tag, tree.add(stack[-1][1], _element(tag, m[3]))))
+            if tag in _ENDS:
+                inner = max((places[t][-1] for t in _ENDS[tag] if places[t]), default=0)
+                if inner > max((places[t][-1] for t in _LISTS if places[t]), default=0):
+                    close(stack[inner][0])
+            if not attributes.rstrip().endswith("/") or tag not in ("div", "p"):
+                places[tag].append(len(stack))
+                stack.append((tag, tree.add(stack[-1][1], _element(tag, attributes))))
     flush()
     return tree
 
