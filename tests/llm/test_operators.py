@@ -1,7 +1,9 @@
 """Each operator against a plain brute-force version, on given documents and on odd rows."""
 
 import hashlib
+import itertools
 import re
+import time
 import zlib
 from collections import defaultdict
 
@@ -268,6 +270,36 @@ def test_license_notices(spark):
     assert {x[0]: found[k]["labels"] for k, x in enumerate(given)} == dict(given)
 
 
+def test_surviving_detections_against_all_pairs(spark):
+    rng = np.random.default_rng(4)
+
+    def beaten(a, b):
+        (f, l, _, p, _, _), (g, m, _, q, _, _) = a, b
+        if g <= f and m >= l:
+            return (m - g) > (l - f) or q < p
+        return g < l and f < m and q < p and not (f <= g and l >= m)
+
+    texts = []
+    for k in range(60):
+        n = int(rng.integers(0, 80))
+        first = rng.integers(0, 4 + 4 * k, n)
+        last = first + rng.integers(1, 12, n)
+        kinds = zip(first.tolist(), last.tolist(), rng.integers(0, 4, n).tolist(), rng.integers(0, 10, n).tolist())
+        texts.append((k, [(f, e, f"l{p}", p, 1.0, base == 0) for f, e, p, base in kinds]))
+    kind = "k int, every array<struct<first:bigint,last:bigint,label:string,priority:int,score:double,base:boolean>>"
+    found = {r["k"]: sorted(map(tuple, r["kept"])) for r in licenses.surviving(spark.createDataFrame(texts, kind)).collect()}
+    for k, every in texts:
+        assert found[k] == sorted(a for a in every if a[5] or not any(not b[5] and beaten(a, b) for b in every))
+
+
+def test_license_notices_in_one_long_text(spark):
+    n = 3000
+    docs = spark.createDataFrame([(1, "licensed under the MIT license, " * n + "all rights reserved")], "doc_id long, text string")
+    got = licenses.license_scan(docs).first()
+    assert (got["n_words"], got["n_base"], got["first_word"], got["last_word"]) == (5 * n + 3, n, 1, 5 * n - 4)
+    assert (got["base_labels"], got["labels"]) == ("mit", "mit,proprietary")
+
+
 def test_license_hints():
     for name in [n for _, n, _ in licenses.NAMES]:
         assert all(len(x.strip()) > 1 for x in licenses.literals(name)), name
@@ -371,6 +403,50 @@ def test_page_text(spark):
     assert all(r["n_chars"] == len(r["text"]) for r in found.values())
 
 
+@pytest.mark.parametrize(
+    "page",
+    ["<div>" * 100_000, "<a " * 100_000, '<a "' * 100_001 + ">", "<a" * 100_000, "<!" * 100_000, "<li><table>" + "<div>" * 50_000 + "<li></li>" * 50_000],
+    ids=["nested", "unclosed", "quotes", "names", "declarations", "items"],
+)
+def test_page_of_endless_tags(page):
+    began = time.process_time()
+    html_text.parse(page)
+    assert time.process_time() - began < 20
+
+
+def test_unclosed_tags_are_text():
+    def texts(page):
+        return [t for t in html_text.parse(page).texts if t]
+
+    assert texts("<p>one <a two</p>") == ["one"]
+    assert texts('<p>one <a "two</p>') == ['one <a "two']
+    assert texts('<p>a <b c="x>y">d</b></p><p>e <i "f <p>g') == ["a d", 'e <i "f', "g"]
+    assert texts("<p>1 < 2 <3</p><a") == ["1 < 2 <3", "<a"]
+
+
+def test_page_marginals_against_enumeration():
+    rng = np.random.default_rng(8)
+    n_features = len(html_text.FEATURES)
+    for n in (1, 2, 5, 9):
+        model = html_text.Model(rng.normal(size=n_features).tolist(), rng.normal(size=(2, 2, 2)).tolist())
+        tree = html_text.Tree()
+        for i in range(n):
+            parent = -1 if not i else int(rng.choice([k for k in range(i) if tree.texts[k] is None]))
+            tree.add(parent, rng.integers(0, n_features, 3).tolist(), "t" if i and rng.random() < 0.4 else None)
+        weights = {}
+        for states in itertools.product((0, 1), repeat=n):
+            own = sum(model.own[k] for y, f in zip(states, tree.features) if y for k in f)
+            edges = (model.pair[int(tree.texts[i] is not None)][states[tree.parent[i]]][states[i]] for i in range(1, n))
+            weights[states] = np.exp(own + sum(edges))
+        total = sum(weights.values())
+        node, joint = model.marginals(tree)
+        for i in range(n):
+            assert node[i] == pytest.approx(sum(w for s, w in weights.items() if s[i]) / total)
+            if i:
+                pairs = [sum(w for s, w in weights.items() if (s[tree.parent[i]], s[i]) == (a, b)) / total for a in (0, 1) for b in (0, 1)]
+                assert joint[i] == pytest.approx(tuple(pairs))
+
+
 def test_page_text_after_unclosed_raw_tags():
     article = "<article><p>The harbour was quiet that morning, and nobody had seen the boats go out.</p></article>"
     wanted = "The harbour was quiet that morning, and nobody had seen the boats go out."
