@@ -151,6 +151,56 @@ SELECT {_EVENT_COLUMNS} FROM (
 WHERE pos = 1"""
 
 
+_CHAIN_VERSIONS = """(VALUES
+    (0, TIMESTAMP '1996-01-01', TIMESTAMP '1998-01-01', TIMESTAMP '2024-01-01 06:00:00', DATE '2024-01-01'),
+    (1, TIMESTAMP '1998-01-01', CAST(NULL AS TIMESTAMP), TIMESTAMP '2024-01-02 06:00:00', DATE '2024-01-02')
+    ) AS v(step, vf, vt, loaded_at, load_date)"""
+
+CHAIN_PRODUCTS = f"""
+    SELECT md5(CAST(p_partkey AS VARCHAR) || '-' || CAST(v.vf AS VARCHAR)) AS product_key,
+           p_partkey AS product_id, p_name AS product_name, p_type AS category,
+           p_retailprice + v.step * 10 AS price, p_brand AS description,
+           'img/' || CAST(p_partkey AS VARCHAR) || '.jpg' AS image_url,
+           p_size / CAST(10 AS DOUBLE) AS rating_score, p_size AS rating_count,
+           v.vf AS effective_from, v.vt AS effective_to, v.loaded_at, v.load_date
+    FROM part CROSS JOIN {_CHAIN_VERSIONS}"""
+
+CHAIN_CUSTOMERS = f"""
+    SELECT md5(CAST(c_custkey AS VARCHAR) || '-' || CAST(v.vf AS VARCHAR)) AS customer_key,
+           c_custkey AS user_id, split_part(c_name, '#', 1) AS first_name,
+           split_part(c_name, '#', 2) AS last_name,
+           split_part(c_name, '#', 1) || ' ' || split_part(c_name, '#', 2) AS full_name,
+           c_name || '@mail.test' AS email, c_name AS username, n_name AS city,
+           c_mktsegment || ' street' AS street,
+           lpad(CAST(c_custkey % 10000 AS VARCHAR), 4, '0') AS zipcode,
+           '555-' || CAST(c_custkey AS VARCHAR) || '-' || CAST(v.step AS VARCHAR) AS phone,
+           v.vf AS effective_from, v.vt AS effective_to, v.loaded_at, v.load_date
+    FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey CROSS JOIN {_CHAIN_VERSIONS}"""
+
+
+def _fact(products: str, customers: str) -> str:
+    return f"""
+WITH p AS ({products}), c AS ({customers}), d AS ({SPINE}),
+cart AS (SELECT k.*, r.loaded_at FROM ({CART_ITEMS}) k CROSS JOIN {CART_RUNS})
+SELECT md5(CAST(k.o_orderkey AS VARCHAR) || '-' || CAST(k.product_id AS VARCHAR)) AS order_item_key,
+       k.o_orderkey AS order_id, c.customer_key, p.product_key,
+       {DATE_KEY.format(day='d.full_date')} AS date_key, k.product_id, k.o_custkey AS user_id,
+       k.quantity, p.price AS unit_price, k.quantity * p.price AS total_price,
+       k.o_orderdate AS order_date, k.loaded_at, CAST(NULL AS VARCHAR) AS run_id
+FROM cart k
+LEFT JOIN p ON k.product_id = p.product_id AND {_valid('k.o_orderdate', 'p')}
+LEFT JOIN c ON k.o_custkey = c.user_id AND {_valid('k.o_orderdate', 'c')}
+LEFT JOIN d ON CAST(k.o_orderdate AS DATE) = d.full_date
+UNION ALL
+SELECT md5(CAST(i.order_item_id AS VARCHAR)), i.order_id, c.customer_key, p.product_key,
+       {DATE_KEY.format(day='d.full_date')}, i.product_id, i.user_id, i.quantity, i.unit_price,
+       i.total_price, i.order_date, CAST(NULL AS TIMESTAMP), CAST(NULL AS VARCHAR)
+FROM ({ITEMS}) i
+LEFT JOIN p ON i.product_id = p.product_id AND {_valid('i.order_date', 'p')}
+LEFT JOIN c ON i.user_id = c.user_id AND {_valid('i.order_date', 'c')}
+LEFT JOIN d ON CAST(i.order_date AS DATE) = d.full_date"""
+
+
 # --- one statement per query -----------------------------------------------------------
 
 ORACLES: dict[str, str] = {
@@ -261,26 +311,10 @@ FROM ({_ASOF_PRODUCT}) a""",
     "date_key_join": f"""
 SELECT o.o_orderkey, o.o_orderdate, {DATE_KEY.format(day='d.full_date')} AS date_key
 FROM orders o LEFT JOIN ({SPINE}) d ON CAST(o.o_orderdate AS DATE) = d.full_date""",
-    "fact_order_items": f"""
-WITH p AS ({PRODUCTS}), c AS ({CUSTOMERS}), d AS ({SPINE}),
-cart AS (SELECT k.*, r.loaded_at FROM ({CART_ITEMS}) k CROSS JOIN {CART_RUNS})
-SELECT md5(CAST(k.o_orderkey AS VARCHAR) || '-' || CAST(k.product_id AS VARCHAR)) AS order_item_key,
-       k.o_orderkey AS order_id, c.customer_key, p.product_key,
-       {DATE_KEY.format(day='d.full_date')} AS date_key, k.product_id, k.o_custkey AS user_id,
-       k.quantity, p.price AS unit_price, k.quantity * p.price AS total_price,
-       k.o_orderdate AS order_date, k.loaded_at, CAST(NULL AS VARCHAR) AS run_id
-FROM cart k
-LEFT JOIN p ON k.product_id = p.product_id AND {_valid('k.o_orderdate', 'p')}
-LEFT JOIN c ON k.o_custkey = c.user_id AND {_valid('k.o_orderdate', 'c')}
-LEFT JOIN d ON CAST(k.o_orderdate AS DATE) = d.full_date
-UNION ALL
-SELECT md5(CAST(i.order_item_id AS VARCHAR)), i.order_id, c.customer_key, p.product_key,
-       {DATE_KEY.format(day='d.full_date')}, i.product_id, i.user_id, i.quantity, i.unit_price,
-       i.total_price, i.order_date, CAST(NULL AS TIMESTAMP), CAST(NULL AS VARCHAR)
-FROM ({ITEMS}) i
-LEFT JOIN p ON i.product_id = p.product_id AND {_valid('i.order_date', 'p')}
-LEFT JOIN c ON i.user_id = c.user_id AND {_valid('i.order_date', 'c')}
-LEFT JOIN d ON CAST(i.order_date AS DATE) = d.full_date""",
+    "fact_order_items": _fact(PRODUCTS, CUSTOMERS),
+    "chain_products": CHAIN_PRODUCTS,
+    "chain_customers": CHAIN_CUSTOMERS,
+    "chain_fact": _fact(CHAIN_PRODUCTS, CHAIN_CUSTOMERS),
     "entity_counts": """
 SELECT 'products' AS entity, count(*) AS records FROM part
 UNION ALL SELECT 'users', count(*) FROM customer

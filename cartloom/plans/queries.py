@@ -23,10 +23,19 @@ from ..operators.dedup import latest_per_key, merge_latest
 from ..operators.explode import explode_items
 from ..operators.scd2 import as_of, current, scd2_fold, scd2_from_history
 from ..operators.stamp import enrich
+from ..schemas import HISTORY_SPECS
 from ..sources.json_scan import scan_files
 from ..sources.ledger import unseen_files
 from . import driver_tables as given
 from . import marts, staging
+from .chain import history_of_runs, star_of_histories
+
+# What the runs of the chain had loaded, and when they took their snapshots; the second finds nothing new.
+CHAIN_RUNS = (
+    ("2024-01-01 06:00:00", "1996-01-01"),
+    ("2024-01-01 18:00:00", "1997-01-01"),
+    ("2024-01-02 06:00:00", "1998-01-01"),
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -361,6 +370,47 @@ def fact_order_items(spark, sf):
     )
 
 
+# --- the chain: bronze, staging, snapshots, dimensions, fact -----------------------------
+
+
+def _chain_runs():
+    return [(F.lit(until).cast("timestamp"), given.ntz(now)) for until, now in CHAIN_RUNS]
+
+
+def _product_runs(spark, sf):
+    bronze = given.product_bronze(spark, sf)
+    return history_of_runs(bronze, staging.stg_products, HISTORY_SPECS["products"], _chain_runs())
+
+
+def _customer_runs(spark, sf):
+    bronze = given.user_bronze(spark, sf)
+    return history_of_runs(bronze, staging.stg_users, HISTORY_SPECS["customers"], _chain_runs())
+
+
+@query
+def chain_products(spark, sf):
+    dim = marts.dim_product(_product_runs(spark, sf))
+    return dim.withColumn("loaded_at", given.as_ntz("loaded_at"))
+
+
+@query
+def chain_customers(spark, sf):
+    dim = marts.dim_customer(_customer_runs(spark, sf))
+    return dim.withColumn("loaded_at", given.as_ntz("loaded_at"))
+
+
+@query
+def chain_fact(spark, sf):
+    """The fact over what three runs left: every step from the loads on."""
+    return star_of_histories(
+        staging.stg_carts(given.cart_bronze(spark, sf)),
+        given.order_items(spark, sf),
+        _product_runs(spark, sf),
+        _customer_runs(spark, sf),
+        _dates(spark),
+    )
+
+
 # --- aggregates ------------------------------------------------------------------------
 
 
