@@ -53,14 +53,14 @@ _BLOCK = re.compile(rf"</?(?:{'|'.join(_TAGS)})(?=[\s/>])", re.I)
 _WORDS = {
     "content": r"content|article|post(?!ing)|entry|story|main|body|text",
     "menu": r"nav|menu|breadcrumb|pagination|toc|skip",
-    "head": r"head|masthead|top|logo",
+    "head": r"head(?!line)|masthead|top(?![-_]?(?:story|stories|news|article|post|ic))|logo",
     "foot": r"foot|copyright|legal",
     "side": r"side|widget|related|recommend|popular|trending|rail",
     "notice": r"cookie|notice|consent|banner|alert|popup|modal|gdpr|overlay",
     "advert": r"\bads?\b|advert|sponsor|promo",
     "comment": r"comment|repl(?:y|ies)|discuss|respond|disqus",
     "form": r"form|search|login|subscribe|newsletter|signup",
-    "share": r"share|social|follow|byline|meta|tags?\b",
+    "share": r"share(?![-_]?(?:price|holder))|social|follow|byline|meta|tags?\b",
 }
 _WORDS = {k: re.compile(v, re.I) for k, v in _WORDS.items()}
 _TEXT = ("text", "short", "medium", "long", "links", "sentence", "copyright", "words")
@@ -307,7 +307,7 @@ def made_page(rng: np.random.Generator) -> tuple[str, list[str]]:
     sentence = lambda: line(3, 25).capitalize() + pick(".", ".", ".", "!", "?", "")
     links = lambda n: "".join(f"<li><a href='/x'>{line(1, 4)}</a></li>" for _ in range(n))
     blocks: list[str] = []
-    tiny = rng.random() < 0.2
+    tiny = rng.random() < 0.25
 
     def block(tag: str, text: str) -> str:
         blocks.append(text)
@@ -318,13 +318,24 @@ def made_page(rng: np.random.Generator) -> tuple[str, list[str]]:
         for _ in range(rng.integers(1, 8)):
             kind = rng.random()
             if tiny:
-                out += block("p", line(1, 5))
+                short = line(1, 5)
+                out += block("p", pick(short, f"{short.capitalize()}.", f"{short.capitalize()} © {word()}."))
             elif kind < 0.7:
                 out += block("p", " ".join(sentence() for _ in range(rng.integers(1, 5))))
             elif kind < 0.8:
                 out += "</p><ul>" + "".join(block("li", line(2, 12)) for _ in range(3)) + "</ul>"
+            elif kind < 0.87:
+                out += block(pick("h2", "h3", "h4", "h5", "h6"), line(1, 6))
             elif kind < 0.9:
-                out += block(pick("h2", "h3"), line(1, 6))
+                out += "</p><table>" + "".join(f"<tr>{block('th', line(1, 3))}{block('td', line(1, 9))}</tr>" for _ in range(3)) + "</table>"
+            elif kind < 0.92:
+                out += f"</p><figure><img src='/i'>{block('figcaption', sentence())}</figure>"
+            elif kind < 0.94:
+                out += f"</p><dl>{block('dt', line(1, 3))}{block('dd', sentence())}</dl>"
+            elif kind < 0.95:
+                out += block("p", f"{sentence()} © {sentence()}")
+            elif kind < 0.97:
+                out += "</p>" + block("div", sentence())
             else:
                 out += block(pick("blockquote", "pre"), sentence())
         return out
@@ -341,13 +352,15 @@ def made_page(rng: np.random.Generator) -> tuple[str, list[str]]:
         "comments": lambda: f"<{pick('div', 'section')} {pick('class', 'id')}='{pick('comments', 'comment-list', 'replies')}'><h3>{line(1, 3)}</h3>"
         + "".join(f"<div class='comment'><p>{sentence()} {sentence()}</p></div>" for _ in range(rng.integers(1, 4)))
         + "</div>",
+        "hidden": lambda: f"<div {pick('hidden', 'style=\"display:none\"')}><p>{sentence()} {sentence()}</p></div>",
+        "share": lambda: f"<div class='{pick('share', 'social', 'share-bar', 'follow-us')}'>{line(1, 3)} <a href='/x'>{word()}</a> <a href='/y'>{word()}</a></div>",
         "foot": lambda: pick("<footer>{}</footer>", "<div class='footer'>{}</div>").format(f"&copy; {line(2, 9)}."),
     }
     some = lambda *names: "".join(noise[n]() for n in names if rng.random() < 0.6)
-    shell = pick("<article>{}</article>", "<main>{}</main>", "<main><article>{}</article></main>", "<div class='content'>{}</div>", "<div id='post-body'>{}</div>", "<div><div>{}</div></div>")
+    shell = pick("<article>{}</article>", "<main>{}</main>", "<main><article>{}</article></main>", "<div class='content'>{}</div>", "<div id='post-body'>{}</div>", "<div><div>{}</div></div>", "<div class='story'>{}</div>")
     inner = body()
-    inside = some("ad", "side", "note") if rng.random() < 0.3 else ""
-    page = some("menu", "head", "note", "ad") + shell.format(inner + "</p>" + inside) + some("side", "ad", "comments", "form", "note", "foot")
+    inside = some("ad", "side", "note", "share", "hidden") if rng.random() < 0.3 else ""
+    page = some("menu", "head", "note", "ad") + shell.format(inner + "</p>" + inside) + some("side", "ad", "share", "comments", "form", "hidden", "note", "foot")
     return f"<html><body>{page}</body></html>", [" ".join(html.unescape(b).split()) for b in blocks]
 
 

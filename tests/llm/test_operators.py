@@ -424,6 +424,30 @@ def test_unclosed_tags_are_text():
     assert texts("<p>1 < 2 <3</p><a") == ["1 < 2 <3", "<a"]
 
 
+#: Layouts written and labelled by hand: body, expected blocks.
+LAID_OUT = [
+    ('<nav><ul><li><a href=/>Home</a></li></ul></nav><div class="top-story"><p>One sentence about the harbour stands here.</p></div>'
+     "<footer>&copy; 2020 Paper.</footer>", ["One sentence about the harbour stands here."]),
+    ('<div class="content"><p>A short one.</p><p>The sign © is used often.</p></div><div class="footer">&copy; 2021</div>',
+     ["A short one.", "The sign © is used often."]),
+    ('<article><h1>Title of it</h1><p>Visible text stands here, and more of it follows.</p></article>'
+     '<div style="display:none"><p>Not to be seen by anyone at all.</p></div>', ["Title of it", "Visible text stands here, and more of it follows."]),
+    ('<main><h1>Title of it</h1><p>Visible text stands here, and more of it follows.</p>'
+     '<div class="share">Share this <a href=/x>now</a></div></main>', ["Title of it", "Visible text stands here, and more of it follows."]),
+    ("<article><h2>Results</h2><p>The table shows them all.</p><table><tr><th>Team</th><td>Four points</td></tr></table></article>"
+     "<aside><h3>Related</h3><ul><li><a href=/q>More</a></li></ul></aside>", ["Results", "The table shows them all.", "Team", "Four points"]),
+    ("<header><p>The Daily</p></header><main><p>The bridge was closed today, officials said.</p><figure><img src=a>"
+     "<figcaption>The bridge seen from the south bank.</figcaption></figure><dl><dt>Length</dt><dd>It is 300 metres long.</dd></dl></main>",
+     ["The bridge was closed today, officials said.", "The bridge seen from the south bank.", "Length", "It is 300 metres long."]),
+]
+
+
+def test_pages_laid_out_by_hand():
+    model = html_text.trained()
+    for body, blocks in LAID_OUT:
+        assert html_text.main_text(f"<html><body>{body}</body></html>", model).split("\n\n") == blocks
+
+
 def test_page_marginals_against_enumeration():
     rng = np.random.default_rng(8)
     n_features = len(html_text.FEATURES)
