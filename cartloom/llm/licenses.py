@@ -7,7 +7,9 @@ phrasings that announce a license. Texts without any keyword end at one look; ot
 searched by the rules whose keyword and hints they hold. Detections inside a longer one, or overlapping one of better priority,
 are dropped; detections of the fixed phrases always stay.
 
-Null text is empty, as is one without words: zero counts, null places, empty labels. Rows are independent.
+Null text is empty, as is one without words: zero counts, null places, empty labels. Rows are independent, so repeated
+ones get equal results and an empty table none. Very long texts are searched whole, within one task, in time that
+grows with their detections. Columns other than doc_id and text are not read, whatever their names.
 """
 
 from __future__ import annotations
