@@ -14,7 +14,7 @@ Blocks of more than TILE points are dealt to tiles, anew each turn, and at the e
 
 Null or wordless text has an empty set and links with nothing. Rows with the same doc_id are
 treated as copies of that id. Other columns are not read; an empty table gives no rows. Very long texts are read
-whole; a task holds the shingles of one at a time, and the texts of a batch of pairs where they are verified.
+whole; a task holds the shingles of a slice of rows at a time, and the texts of a batch of pairs where they are verified.
 """
 
 from __future__ import annotations
