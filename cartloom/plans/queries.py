@@ -248,11 +248,19 @@ def scd2_history_keep(spark, sf):
 
 
 def _products(spark, sf):
-    return marts.dim_product(given.product_history(spark, sf))
+    return _growing(marts.dim_product(given.product_history(spark, sf)))
 
 
 def _customers(spark, sf):
-    return marts.dim_customer(given.customer_history(spark, sf))
+    return _growing(marts.dim_customer(given.customer_history(spark, sf)))
+
+
+def _growing(dim):
+    """A dimension that grows with the tables: shuffled and hashed in joins, not sent to the driver.
+
+    Its size is estimated from compressed files, which hold neither the second version nor the keys of its rows.
+    """
+    return dim.hint("shuffle_hash")
 
 
 def _dates(spark):
