@@ -14,3 +14,10 @@ def test_growing_dimensions_are_not_sent_to_the_driver(spark):
     sent = re.findall(r"BroadcastExchange .*", text)
     assert len(sent) <= 1  # the calendar, which has a fixed size
     assert "ShuffledHashJoin" in text
+
+
+def test_items_are_joined_without_sorting_them(spark, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    for name in ("asof_product", "asof_product_hot"):
+        text = plan(QUERIES[name](spark, SF))
+        assert "SortMergeJoin" not in text and "Sort [l_orderkey" not in text, name
