@@ -53,6 +53,14 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf}/{name}.parquet")
 
 
+def _dealt(rows: DataFrame, key: str) -> DataFrame:
+    """Narrow rows dealt out by their unique key before they are made into records.
+
+    Records of all loads are many times as large as the compressed row group that one task reads them from.
+    """
+    return rows.repartition(key)
+
+
 def ntz(text: str) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
@@ -103,7 +111,7 @@ def _bronze(rows: DataFrame, entity: str, record: Column) -> DataFrame:
 
 def product_bronze(spark: SparkSession, sf: str) -> DataFrame:
     """``part`` loaded twice; the second load raises every price by 10."""
-    rows = table(spark, sf, "part").select(
+    rows = _dealt(table(spark, sf, "part"), "p_partkey").select(
         "*", _loads(("run-1", "2024-01-01", 0), ("run-2", "2024-01-02", 1))
     )
     record = F.struct(
@@ -125,7 +133,7 @@ def user_bronze(spark: SparkSession, sf: str) -> DataFrame:
     """``customer`` with the name of its nation, loaded twice; the second load changes phones."""
     nation = table(spark, sf, "nation").select("n_nationkey", "n_name")
     rows = (
-        table(spark, sf, "customer")
+        _dealt(table(spark, sf, "customer"), "c_custkey")
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
         .select("*", _loads(("run-1", "2024-01-01", 0), ("run-2", "2024-01-02", 1)))
     )
@@ -159,7 +167,8 @@ def cart_bronze(spark: SparkSession, sf: str) -> DataFrame:
     for some), so a document has a fixed upper size and no rows are gathered to build it.
     """
     # What the loads of an order share is made before they are told apart, so once.
-    orders = table(spark, sf, "orders").select(
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    orders = _dealt(orders, "o_orderkey").select(
         "o_orderkey",
         "o_custkey",
         F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("date"),

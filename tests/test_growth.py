@@ -21,3 +21,10 @@ def test_items_are_joined_without_sorting_them(spark, conf):
     for name in ("asof_product", "asof_product_hot"):
         text = plan(QUERIES[name](spark, SF))
         assert "SortMergeJoin" not in text and "Sort [l_orderkey" not in text, name
+
+
+def test_rows_are_dealt_out_before_they_become_records(spark):
+    for name, key in (("stg_users", "c_custkey"), ("stg_products", "p_partkey"), ("stg_carts", "o_orderkey")):
+        text = plan(QUERIES[name](spark, SF))
+        dealt = text.index(f"hashpartitioning({key}")
+        assert text.index("to_variant_object") < dealt, name  # plans are printed from the top
