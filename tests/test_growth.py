@@ -2,6 +2,7 @@
 
 import re
 
+from cartloom.operators.asof import asof_left_bucketed
 from cartloom.plans.queries import QUERIES
 
 from .conftest import plan
@@ -24,7 +25,18 @@ def test_items_are_joined_without_sorting_them(spark, conf):
 
 
 def test_rows_are_dealt_out_before_they_become_records(spark):
-    for name, key in (("stg_users", "c_custkey"), ("stg_products", "p_partkey"), ("stg_carts", "o_orderkey")):
+    for name, key in (("stg_users", "c_custkey"), ("stg_products", "p_partkey")):
         text = plan(QUERIES[name](spark, SF))
         dealt = text.index(f"hashpartitioning({key}")
         assert text.index("to_variant_object") < dealt, name  # plans are printed from the top
+
+
+def test_versions_stand_in_buckets_with_facts_only(spark):
+    """A version of a century meets two facts, so two candidates of it move, not one a month."""
+    fact = spark.sql("SELECT 1 AS id, explode(array(TIMESTAMP_NTZ '1950-06-01', TIMESTAMP_NTZ '2020-06-01')) AS t")
+    dim = spark.sql(
+        "SELECT 1 AS id, TIMESTAMP_NTZ '1920-01-01' AS effective_from, CAST(NULL AS TIMESTAMP_NTZ) AS effective_to, 'v' AS v"
+    )
+    joined = asof_left_bucketed(fact, dim, "id", "t", {"v": "v"})
+    assert [r.v for r in joined.collect()] == ["v", "v"]
+    assert "sequence(" not in plan(joined) and "collect_set" in plan(joined)
