@@ -1,9 +1,10 @@
 """Scanning landed JSON files: the layout is found per file, and large arrays are cut into elements over many tasks.
 
-Files are read as fragments that end at a closing brace, which splits any file at block bounds. One pass sums up each block: its
-net depth and quotes, for a start outside and inside a text, so that the state at the start of every block follows from
-the blocks before it. A second pass counts depth from there and cuts elements where it comes back to one; the elements
-that cross a block's end are put together from their pieces. Both passes number fragments within a block only.
+Files are read once, as fragments that end at a closing brace, which splits any file at block bounds. They are kept with their
+net depth and quotes, for a start outside and inside a text, in the shared scratch folder. One pass sums up each block, so that the
+state at the start of every block follows from the blocks before it. A second pass counts depth from there and cuts pieces
+where it comes back to one; these are kept too, and the elements that cross a block's end are put together from them.
+Both passes number fragments within a block only.
 """
 
 from __future__ import annotations
@@ -16,19 +17,27 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..operators.bronze import RECORD
+from ..session import kept
 
 _END = "end of the text, read by cartloom"
 ARRAY, OBJECT, LINES, BROKEN = "array", "object", "lines", "broken"
 
 
-def parsed_whole(text: Column) -> Column:
-    """The one JSON value of ``text``; NULL when it cannot be parsed or goes on after its first value."""
+def _closed(text: Column) -> Column:
     # The parser stops after the first value; a last element of our own shows that it read the text to its end.
-    closed = F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{_END}"]')))
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{_END}"]')))
+
+
+def _opened(closed: Column) -> Column:
     read = F.try_variant_get(closed, "$[1]", "string") == _END
     return F.when(read, F.try_variant_get(closed, "$[0]", "variant"))
 
 
+def parsed_whole(text: Column) -> Column:
+    """The one JSON value of ``text``; NULL when it cannot be parsed or goes on after its first value."""
+    return _opened(_closed(text))
+
+
 def elements_of(document: Column) -> Column:
     """The elements of an array, or the value itself; one NULL for no value."""
     return F.coalesce(F.try_variant_get(document, "$", "array<variant>"), F.array(document))
@@ -73,7 +82,17 @@ def _fragments(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     net = lambda c: F.regexp_count(c, F.lit(r"[{\[]")) - F.regexp_count(c, F.lit(r"[}\]]"))
     odd = F.col("quotes") % 2
     # Every fragment ends with a brace, which counts where it stands outside texts; the last of a file is seen to later.
-    return rows.withColumns({"outside": net("plain") - (1 - odd), "inside": net("resumed") - odd})
+    rows = rows.withColumns({"outside": net("plain") - (1 - odd), "inside": net("resumed") - odd})
+    tail = F.col("plain")
+    for _ in range(3):
+        tail = F.regexp_replace(tail, r"(?<=\S)\s*\[[^\[\]{}]*\]", "0")
+    closes = F.col("plain").rlike(r"\]\s*$") & tail.rlike(r"^\s*\[?[^\[\]{}]*\]\s*$")
+    torn = lambda c: F.col(c).rlike(r"\]\s*[\[{]")  # no comma between two values
+    return rows.select(
+        "_file", "_block", "_nth", "value", "quotes", "outside", "inside", closes.alias("closes"),
+        torn("plain").alias("torn_plain"), torn("resumed").alias("torn_resumed"),
+        F.regexp_extract("value", r"^\s*(\S)", 1).alias("first"),
+    )
 
 
 def _in_block() -> WindowSpec:
@@ -86,19 +105,9 @@ def _before(c: str, window: WindowSpec | None = None) -> Column:
     return F.coalesce(F.sum(c).over(window), F.lit(0))
 
 
-def _blocks(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """One row a block: ``_file, _block, inside, depth, layout``; the state at its start and the layout of its file."""
-    tail = F.col("plain")
-    for _ in range(3):
-        tail = F.regexp_replace(tail, r"(?<=\S)\s*\[[^\[\]{}]*\]", "0")
-    closes = tail.rlike(r"^\s*\[?[^\[\]{}]*\]\s*$")
-    torn = lambda c: F.col(c).rlike(r"\]\s*[\[{]")  # no comma between two values
-    rows = _fragments(spark, paths).select(
-        "_file", "_block", "_nth", "quotes", "outside", "inside", closes.alias("closes"),
-        torn("plain").alias("torn_plain"), torn("resumed").alias("torn_resumed"),
-        F.regexp_extract("value", r"^\s*(\S)", 1).alias("first"),
-    )
-    rows = rows.withColumn("odd", _before("quotes") % 2)
+def _blocks(rows: DataFrame) -> DataFrame:
+    """One row a block of fragments: ``_file, _block, inside, depth, layout``; the state at its start and the layout of its file."""
+    rows = rows.drop("value").withColumn("odd", _before("quotes") % 2)
     from_out = F.when(F.col("odd") == 0, F.col("outside")).otherwise(F.col("inside"))
     from_in = F.when(F.col("odd") == 0, F.col("inside")).otherwise(F.col("outside"))
     torn_out = F.when(F.col("odd") == 0, F.col("torn_plain")).otherwise(F.col("torn_resumed"))
@@ -134,13 +143,10 @@ def _blocks(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return blocks.join(files.select("_file", layout.alias("layout")), "_file").select("_file", "_block", "inside", "depth", "layout")
 
 
-def _array_records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Records of whole arrays."""
-    # Both scans are leaves of one query over the same files, so they are split alike; a block without a state would show it.
-    states = _blocks(spark, paths).select("_file", "_block", F.col("inside").alias("in_text"), "depth")
-    rows = _fragments(spark, paths).drop("plain", "resumed").join(states, ["_file", "_block"], "left")
-    moved = F.raise_error(F.lit("files were split differently while they were scanned; load them again"))
-    rows = rows.withColumn("in_text", F.when(F.col("in_text").isNull(), moved.cast("int")).otherwise(F.col("in_text")))
+def _array_records(rows: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Records of whole arrays, from the fragments and blocks of all files."""
+    states = blocks.where(F.col("layout") == ARRAY).select("_file", "_block", F.col("inside").alias("in_text"), "depth")
+    rows = rows.select("_file", "_block", "_nth", "value", "quotes", "outside", "inside").join(states, ["_file", "_block"])
     rows = rows.withColumn("odd", (F.col("in_text") + _before("quotes")) % 2)
     rows = rows.withColumn("net", F.when(F.col("odd") == 0, F.col("outside")).otherwise(F.col("inside")))
     rows = rows.withColumn("after", F.col("depth") + F.sum("net").over(_in_block()))
@@ -151,7 +157,7 @@ def _array_records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     pieces = rows.groupBy("_file", "_block", "piece").agg(
         text.alias("text"), (F.max("ends") == 1).alias("closed"), F.max(goes_on.cast("int")).alias("goes_on")
     )
-    pieces = pieces.withColumn("text", F.when(F.col("closed"), F.concat("text", F.lit("}"))).otherwise(F.col("text")))
+    pieces = kept(pieces.withColumn("text", F.when(F.col("closed"), F.concat("text", F.lit("}"))).otherwise(F.col("text"))))
 
     within = pieces.where("closed AND goes_on = 0").select("_file", "_block", "piece", "text", "closed")
     crossing = pieces.where("NOT closed OR goes_on = 1")
@@ -167,14 +173,18 @@ def _array_records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     whole = within.unionByName(crossing)
 
     lead = F.when((F.col("_block") == 0) & (F.col("piece") == 0), r"^\s*\[").otherwise(r"^\s*,")
-    body = F.when(F.col("closed"), F.col("text")).otherwise(F.regexp_replace("text", r"\]\s*$", ""))
-    body = F.when(body.rlike(r"^\s*$"), "").when(F.regexp_like(body, lead), F.regexp_replace(body, lead, F.lit("")))
-    document = parsed_whole(F.concat(F.lit("["), body, F.lit("]")))
-    whole = whole.select("_file", "_block", "piece", elements_of(document).alias("elements"))
+    # What a step names more than once is a column, so that it is worked out once.
+    body = F.col("body")
+    whole = whole.withColumn("body", F.when(F.col("closed"), F.col("text")).otherwise(F.regexp_replace("text", r"\]\s*$", "")))
+    whole = whole.withColumn("body", F.when(body.rlike(r"^\s*$"), "").when(F.regexp_like(body, lead), F.regexp_replace(body, lead, F.lit(""))))
+    whole = whole.withColumn("parsed", _closed(F.concat(F.lit("["), body, F.lit("]"))))
+    whole = whole.withColumn("document", _opened(F.col("parsed")))
+    whole = whole.select("_file", "_block", "piece", elements_of(F.col("document")).alias("elements"))
     # Blocks start at their byte and an element takes two bytes at least, so block + number orders a file's elements.
     whole = whole.withColumn("held", F.size("elements"))
     whole = whole.withColumn("_row_tag", F.col("_block") + _before("held", Window.partitionBy("_file", "_block").orderBy("piece")))
-    whole = whole.select("_file", "_row_tag", F.posexplode("elements").alias("at", RECORD))
+    # The inner generator would filter by the size of its array first, below the parser, which would run again for it.
+    whole = whole.select("_file", "_row_tag", F.posexplode_outer("elements").alias("at", RECORD)).where("at IS NOT NULL")
     return whole.select("_file", (F.col("_row_tag") + F.col("at")).alias("_row_tag"), RECORD)
 
 
@@ -192,17 +202,19 @@ def scan_files(spark: SparkSession, files: Sequence[str], layout: str | None = N
     if not files:
         return out
     found: dict[str, set[str]] = {}
+    rows = kept(_fragments(spark, files))
+    blocks = kept(_blocks(rows))
     # One row a file at hand; the layouts decide how Spark is to read each.
-    for name, has in _blocks(spark, files).select("_file", "layout").distinct().collect():
+    for name, has in blocks.select("_file", "layout").distinct().collect():
         has = BROKEN if layout and has in (ARRAY, LINES) and has != layout else has
         found.setdefault(has, set()).add(name)
     if ARRAY in found:
-        out = out.unionByName(_array_records(spark, list(found[ARRAY])))
+        out = out.unionByName(_array_records(rows, blocks))
     for has, whole in ((OBJECT, True), (LINES, False)):
         if has in found:
             raw = spark.read.format("text").option("wholetext", whole).load(_loadable(found[has]))
             out = out.unionByName(line_records(raw.select(F.col("_metadata.file_path").alias("_file"), "value")))
     if BROKEN in found:
-        rows = spark.createDataFrame([(f, 0) for f in sorted(found[BROKEN])], "_file string, _row_tag long")
-        out = out.unionByName(rows.withColumn(RECORD, F.lit(None).cast("variant")))
+        rejects = spark.createDataFrame([(f, 0) for f in sorted(found[BROKEN])], "_file string, _row_tag long")
+        out = out.unionByName(rejects.withColumn(RECORD, F.lit(None).cast("variant")))
     return out

@@ -103,6 +103,15 @@ def test_no_files_and_blank_files(spark, tmp_path):
     assert found(spark, tmp_path).keys() == {"c%5B1%5D*.json"}
 
 
+def test_arrays_are_read_and_parsed_once(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[{"id": 1}, {"id": 2}]')
+    out = scan_files(spark, [r[0] for r in listed_files(spark.read, str(tmp_path)).collect()])
+    assert not any(f.endswith("/a.json") for f in out.inputFiles())
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    # Once where it is put and once where it is looked for, for elements within a block and for those across.
+    assert plan.count("end of the text, read by cartloom") == 4
+
+
 def put(path, records):
     path.parent.mkdir(parents=True, exist_ok=True)
     path.write_text(json.dumps(records, indent=1))
