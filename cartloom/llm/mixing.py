@@ -4,7 +4,9 @@ Texts are coded bit by bit, each followed by a byte that no UTF-8 text holds, so
 to one. The bits of a byte are its word in a prefix code made from the counts of bytes in the training texts, so that frequent
 bytes take few decisions. A predictor knows, for a hash of its context and the bits of the byte read so far, how often the training
 texts went on with a one. The log-odds of all predictors are added with weights that are chosen by whether the longest
-context is known, and are refined after every bit by its error. Weights start anew every SEGMENT bytes of a text, contexts do not: segments are
+context is known. Training reads the texts online: every bit is predicted by what was learnt before it, its error refines the weights, and
+only then it is counted; errors are summed over a block's bits at one place of their words. In scoring, weights are refined after every bit.
+They start from the learnt ones every SEGMENT bytes of a text, contexts do not: segments are
 scored side by side, and a segment's bits depend on its own text alone, whichever rows share its slice.
 """
 
@@ -26,6 +28,7 @@ END = 0xFF
 SEGMENT = 512
 PIECE = 1 << 19
 SLOTS = PLACES * CONTEXTS << BITS
+TILE = 16  # bits of every segment that are fetched at once
 LOGGED = 8  # bits whose probabilities are multiplied before a logarithm is taken
 
 _STEP, _SPREAD = np.uint32(0x9E3779B1), np.uint32(0x85EBCA6B)
@@ -38,6 +41,8 @@ _CODES = np.random.default_rng(7).integers(1, 1 << 32, 256, dtype=np.uint32)
 _LEAST = 0.4  # added to both counts
 WEIGHT, RATE = 0.4, np.float32(0.02 * float(_SCALE) ** 2)
 MOST = np.float32(8)  # log-odds of the mixture
+REFINED = 1 << 13  # bits of a block, at one place of their words
+_FIRM = 1e5  # how firmly training starts from WEIGHT: as after some hundred bits
 
 
 def with_ends(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -161,21 +166,88 @@ def _decisions(data: np.ndarray, base: np.ndarray, code: Code):
 
 def count(counts: np.ndarray, data: np.ndarray, offsets: np.ndarray, code: Code) -> None:
     """Add the bits of a slice of texts to int64[PLACES, 2 * CONTEXTS << BITS]: zeros and ones of each slot."""
+    learn(counts, None, None, data, offsets, code)
+
+
+class Mixer:
+    """Weights of the predictors, in steps of log-odds, where the longest context is unknown and where it is known.
+
+    A Newton step follows each block of bits, against the curvature of all blocks so far.
+    """
+
+    def __init__(self):
+        self.weights = np.full((2, CONTEXTS), WEIGHT * float(_SCALE))
+        self.curvature = np.tile(np.eye(CONTEXTS) * _FIRM, (2, 1, 1))
+
+    def refine(self, x: np.ndarray, bit: np.ndarray) -> None:
+        """Predict bits from float32[CONTEXTS, n] log-odds, and move the weights by the errors."""
+        known = (x[-1] != 0).astype(np.float32)
+        total, extra = np.array([self.weights[0], self.weights[1] - self.weights[0]], np.float32) @ x
+        extra *= known
+        total += extra
+        np.clip(total, -MOST, MOST, out=total)
+        np.negative(total, out=total)
+        np.exp(total, out=total)
+        total += np.float32(1)
+        np.reciprocal(total, out=total)
+        bent = np.empty((CONTEXTS + 1, len(bit)), np.float32)
+        np.subtract(bit, total, out=bent[-1])
+        total *= np.float32(1) - total
+        np.multiply(x, total, out=bent[:-1])
+        both = np.empty((2, CONTEXTS, CONTEXTS + 1))
+        both[1] = _products(x, bent)
+        # The longest context has no part in what is left: its log-odds are 0 there.
+        bent *= np.float32(1) - known
+        both[0] = _products(x, bent)
+        both[1] -= both[0]
+        self.curvature += both[:, :, :-1]
+        self.weights += np.linalg.solve(self.curvature, both[:, :, -1:])[..., 0]
+
+
+def _products(x: np.ndarray, bent: np.ndarray) -> list[list[float]]:
+    return [[float(np.dot(a, b)) for b in bent] for a in x]
+
+
+def together(mixers: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Weights of several mixers' (weights, curvature), each counting as much as it has learnt."""
+    if not mixers:
+        return Mixer().weights
+    pulls = sum(np.einsum("sij,sj->si", curvature, weights) for weights, curvature in mixers)
+    return np.linalg.solve(sum(curvature for _, curvature in mixers), pulls[..., None])[..., 0]
+
+
+def learn(counts: np.ndarray, odds: np.ndarray | None, mixer: Mixer | None, data: np.ndarray, offsets: np.ndarray, code: Code) -> None:
+    """Refine `mixer` by the bits of a slice of texts, predicted under `odds`, and add them to `counts` (see `count`)."""
     data, offsets = with_ends(data, offsets)
     low = 2 << BITS
     for k, _, _, cell, bit in _decisions(data, contexts(data, offsets), code):
+        for first in range(0, 0 if odds is None else len(bit), REFINED):
+            some = slice(first, first + REFINED)
+            mixer.refine(odds[k].take(cell[:, some]).astype(np.float32), bit[some].astype(np.float32))
         cell <<= np.uint32(1)
         cell |= bit
         for c in range(CONTEXTS):
             counts[k, c * low : (c + 1) * low] += np.bincount(cell[c] - np.uint32(c * low), minlength=low)
 
 
-def log_odds(counts: np.ndarray) -> np.ndarray:
-    """int8 log-odds of a one for int64[..., 2] counts; 0 where nothing is known."""
+def _log_odds(counts: np.ndarray) -> np.ndarray:
     odds = np.log((counts[..., 1] + _LEAST) / (counts[..., 0] + _LEAST))
     return np.clip(np.rint(odds / _SCALE), -127, 127).astype(np.int8)
 
 
+_ODDS = _log_odds(np.arange(1 << 16).astype("<u2").view(np.uint8).reshape(-1, 2).astype(float))
+
+
+def log_odds(counts: np.ndarray) -> np.ndarray:
+    """int8 log-odds of a one for int64[..., 2] counts; 0 where nothing is known."""
+    few = np.minimum(counts, 255).astype(np.uint8).view("<u2")[..., 0]
+    out = _ODDS.take(few)
+    many = few >> 8 == 255
+    many |= few & 255 == 255
+    out[many] = _log_odds(counts[many])
+    return out
+
+
 def _segments(offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, start, length) of all segments."""
     size = np.diff(offsets)
@@ -190,7 +262,7 @@ def _looked_up(data: np.ndarray, offsets: np.ndarray, odds: np.ndarray, code: Co
     """Each bit's log-odds and itself, in four bytes read as one number, and where the bits of every byte start."""
     first = np.zeros(len(data) + 1, np.int64)
     np.cumsum(code.length[data], out=first[1:])
-    held = np.zeros(first[-1], np.uint32)
+    held = np.zeros(first[-1] + TILE, np.uint32)
     for low, high in row_slices(offsets, PIECE):
         a, b = offsets[low], offsets[high]
         base = contexts(data[a:b], offsets[low : high + 1] - a)
@@ -207,8 +279,8 @@ def _looked_up(data: np.ndarray, offsets: np.ndarray, odds: np.ndarray, code: Co
     return held, first
 
 
-def bits_of(data: np.ndarray, offsets: np.ndarray, odds: np.ndarray, code: Code) -> np.ndarray:
-    """Bits that each row's text takes, under int8[PLACES, CONTEXTS << BITS] log-odds."""
+def bits_of(data: np.ndarray, offsets: np.ndarray, odds: np.ndarray, code: Code, start_from: np.ndarray | None = None) -> np.ndarray:
+    """Bits that each row's text takes, under int8[PLACES, CONTEXTS << BITS] log-odds and the weights of a `Mixer`."""
     rows = len(offsets) - 1
     data, offsets = with_ends(data, offsets)
     held, first = _looked_up(data, offsets, odds, code)
@@ -217,30 +289,35 @@ def bits_of(data: np.ndarray, offsets: np.ndarray, odds: np.ndarray, code: Code)
     order = np.argsort(-length, kind="stable")
     row, start, length = row[order], first[start[order]], length[order]
     lanes = len(row)
-    # Two sets of weights: without and with a count for the longest context.
-    weights = np.zeros((2, CONTEXTS, lanes), np.float32)
-    weights[0] = WEIGHT * _SCALE
+    first_weights = (Mixer().weights if start_from is None else start_from).astype(np.float32)
+    # Two sets of weights: without and with a count for the longest context, whose own weight counts in the second only.
+    plain_weights = np.repeat(np.r_[first_weights[0, :-1], first_weights[1, -1]][:, None], lanes, 1)
+    extra_weights = np.repeat((first_weights[1] - first_weights[0])[:-1, None], lanes, 1)
     spent, product = np.zeros(lanes), np.ones(lanes, np.float32)
     active = np.searchsorted(-length, -np.arange(int(length.max(initial=0))), "left")
     one = np.float32(1)
     begun = lanes
-    room = np.empty((4, CONTEXTS + 1, lanes), np.float32)
+    room = np.empty((3, CONTEXTS, lanes), np.float32)
+    ahead = np.lib.stride_tricks.sliding_window_view(held, TILE)
+    fetched, seen = np.empty((CONTEXTS + 1, TILE, lanes), np.float32), np.empty((TILE, lanes), np.float32)
     for t, n in enumerate(active):
         if t % LOGGED == 0:
             spent[:begun] -= np.log2(product[:begun])
             product[:begun] = 1
             begun = n
-        here = held.take(start[:n] + t).view(np.int8).reshape(n, CONTEXTS + 1)
-        full, mixed, step = room[0, :, :n], room[1, :CONTEXTS, :n], room[2, :CONTEXTS, :n]
-        for c in range(CONTEXTS + 1):
-            full[c] = here[:, c]
-        x, bit = full[:CONTEXTS], full[CONTEXTS]
-        known, total = room[3, 0, :n], room[3, 1, :n]
-        np.not_equal(x[-1], 0, out=known, casting="unsafe")
-        plain, extra = weights[0, :, :n], weights[1, :, :n]
-        np.multiply(extra, known, out=mixed)
-        mixed += plain
-        mixed *= x
+        here = t % TILE
+        if here == 0:
+            tile = ahead[start[:n] + t].view(np.int8)
+            fetched[:, :, :n] = tile.reshape(n, TILE, CONTEXTS + 1).transpose(2, 1, 0)
+            np.abs(fetched[-2, :, :n], out=seen[:, :n])
+            np.minimum(seen[:, :n], one, out=seen[:, :n])
+        x, bit, known = fetched[:-1, here, :n], fetched[-1, here, :n], seen[here, :n]
+        mixed, step, total = room[0, :, :n], room[1, :-1, :n], room[2, 0, :n]
+        plain, extra = plain_weights[:, :n], extra_weights[:, :n]
+        np.multiply(extra, known, out=mixed[:-1])
+        mixed[:-1] += plain[:-1]
+        mixed[:-1] *= x[:-1]
+        np.multiply(x[-1], plain[-1], out=mixed[-1])
         np.add(mixed[0], mixed[1], out=total)
         for c in range(2, CONTEXTS):
             total += mixed[c]
@@ -257,10 +334,10 @@ def bits_of(data: np.ndarray, offsets: np.ndarray, odds: np.ndarray, code: Code)
         error *= RATE
         x *= error
         # Weights are kept as those of unknown contexts and what known ones add to them.
-        np.multiply(x, known, out=step)
-        x -= step
+        np.multiply(x[:-1], known, out=step)
+        x[:-1] -= step
         plain += x
-        step -= x
+        step -= x[:-1]
         extra += step
     spent[:begun] -= np.log2(product[:begun])
     return np.bincount(row, spent, minlength=rows)

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from cartloom.llm import corpus_model, importance, mixing, prefix_trie
@@ -244,6 +245,49 @@ def test_mixing_against_one_bit_at_a_time():
         assert abs(alone - plain_bits(text, odds, code)) < 1e-3 * (1 + bits)
 
 
+def test_the_mixture_is_learnt_from_training_texts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    training = docs.where(~corpus_model.held_out(docs["doc_id"])).select("text")
+    code = mixing.code_of(corpus_model.byte_counts(training))
+    odds, weights = corpus_model.learnt(training, code)
+    start = mixing.Mixer().weights
+    assert weights.shape == start.shape and (np.abs(weights - start) > 0.1 * start).any()
+    texts = [(r["text"] or "").encode() for r in docs.where(corpus_model.held_out(docs["doc_id"])).collect()]
+    data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0] + [len(t) for t in texts])
+    assert mixing.bits_of(data, offsets, odds, code, weights).sum() < 0.999 * mixing.bits_of(data, offsets, odds, code).sum()
+
+
+def test_bits_are_predicted_before_they_are_counted():
+    text = b"the cat and the dog and the bird " * 400
+    data, offsets = np.frombuffer(text, np.uint8), np.array([0, len(text)])
+    full, _ = mixing.with_ends(data, offsets)
+    code, shape = mixing.code_of(np.bincount(full, minlength=256)), (mixing.PLACES, 2 * mixing.CONTEXTS << mixing.BITS)
+    plain, counts, mixer = np.zeros(shape, np.int64), np.zeros(shape, np.int64), mixing.Mixer()
+    mixing.count(plain, data, offsets, code)
+    nothing = mixing.log_odds(counts.reshape(mixing.PLACES, -1, 2))
+    mixing.learn(counts, nothing, mixer, data, offsets, code)
+    assert (counts == plain).all() and (mixer.weights == mixing.Mixer().weights).all()
+    odds = mixing.log_odds(counts.reshape(mixing.PLACES, -1, 2))
+    mixing.learn(counts, odds, mixer, data, offsets, code)
+    assert (counts == 2 * plain).all() and (mixer.weights > mixing.Mixer().weights).any()
+    assert np.allclose(mixing.together([(mixer.weights, mixer.curvature)] * 2), mixer.weights)
+    assert mixing.bits_of(data, offsets, odds, code, mixer.weights)[0] < mixing.bits_of(data, offsets, odds, code)[0]
+
+
+def test_log_odds_of_few_and_many_counts():
+    counts = np.array([[0, 0], [1, 0], [254, 3], [255, 255], [3, 256], [10**9, 7]])
+    exact = np.rint(12 * np.log((counts[:, 1] + 0.4) / (counts[:, 0] + 0.4))).clip(-127, 127)
+    assert (mixing.log_odds(counts) == exact).all()
+
+
+@pytest.mark.parametrize("distinct", [1, 200, 60_000, 70_000, 1 << 25])
+def test_places_of_words_come_back(distinct):
+    place = np.random.default_rng(distinct).integers(0, distinct, 500)
+    parts = corpus_model._packed(place, np.array([0, 0, 3, 500]), distinct)
+    back = [corpus_model._unpacked(pa.py_buffer(p), n) for p, n in zip(parts, (0, 3, 497))]
+    assert (np.concatenate(back) == place).all()
+
+
 @pytest.mark.parametrize("counts", [[0] * 256, [2**i if i < 60 else 0 for i in range(256)], [10**15] + [0] * 255])
 def test_words_of_bytes_are_a_whole_prefix_code(counts):
     code = mixing.code_of(np.array(counts, dtype=object))
