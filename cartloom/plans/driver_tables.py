@@ -61,6 +61,14 @@ def _dealt(rows: DataFrame, key: str) -> DataFrame:
     return rows.repartition(key)
 
 
+def _spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """Narrow rows dealt out over all shuffle partitions, which stay apart.
+
+    Merged again by the bytes of the narrow rows, they would leave a task more records to sort than it can hold.
+    """
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def ntz(text: str) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
@@ -167,7 +175,7 @@ def cart_bronze(spark: SparkSession, sf: str) -> DataFrame:
     for some), so a document has a fixed upper size and no rows are gathered to build it.
     """
     # What the loads of an order share is made before they are told apart, so once.
-    orders = table(spark, sf, "orders").select(
+    orders = _spread(table(spark, sf, "orders"), "o_orderkey", "o_custkey").select(
         "o_orderkey",
         "o_custkey",
         F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("date"),

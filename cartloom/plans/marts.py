@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.dates import date_key, date_spine
 from ..functions.keys import surrogate_key
@@ -117,6 +118,25 @@ def date_key_join(
     return joined.withColumnRenamed("__date_key", name)
 
 
+def _late_keyed(dim: DataFrame, lines: DataFrame, key: str, natural: str) -> DataFrame:
+    """``dim`` in a form whose surrogate keys can be hashed again from the lines that matched it.
+
+    ``__from_of_key`` is the start of a version whose key is the hash of its natural key and start, as the dimensions
+    of this module have it; ``__given_key`` is any other key, to be carried as it is.
+    """
+    kind = dim.schema[natural].dataType
+    # Equal numbers of one whole type have one text, which other types do not promise.
+    hashed = F.lit(False)
+    if isinstance(kind, T.IntegralType) and lines.schema[natural].dataType == kind:
+        hashed = F.coalesce(F.col(key) == surrogate_key(dim, [natural, "effective_from"]), hashed)
+    return dim.withColumns(
+        {
+            "__from_of_key": F.when(hashed, F.col("effective_from")),
+            "__given_key": F.when(~hashed, F.col(key)),
+        }
+    )
+
+
 def build_fact(
     carts: DataFrame,
     seed: DataFrame,
@@ -130,32 +150,35 @@ def build_fact(
 
     The sources are stacked before the star joins, so each dimension is joined once instead of
     once per source. Constants of one branch still prune it: a reader that filters on
-    ``loaded_at IS NOT NULL`` never scans the seed. Item keys are hashed after the joins, which
-    keeps their text out of the shuffles.
+    ``loaded_at IS NOT NULL`` never scans the seed. Customers are met first, as their versions leave
+    less to carry into the second join than prices would. Item and customer keys are hashed after
+    the joins, which keeps their text out of the shuffles.
     """
     instant = _instant_type(products)
     lines = union_sources(cart_lines(carts, instant), seed_lines(seed, instant))
+    keyed = asof_left(
+        lines, _late_keyed(customers, lines, "customer_key", "user_id"), "user_id", "order_date",
+        {"customer_from": "__from_of_key", "given_customer_key": "__given_key"}, hot_keys=hot_customers,
+    )
     priced = asof_left(
-        lines, products, "product_id", "order_date",
+        keyed, products, "product_id", "order_date",
         {"product_key": "product_key", "valid_price": "price"}, hot_keys=hot_products,
     )
-    # Priced before the next shuffle, which then carries one price and total a row instead of both sources'.
+    starred = date_key_join(priced, dates, "order_date")
     own = F.col("is_seed")
+    item_key = F.when(own, surrogate_key(starred, ["order_item_id"])).otherwise(
+        surrogate_key(starred, ["order_id", "product_id"])
+    )
+    customer_key = F.when(
+        F.col("customer_from").isNotNull(), surrogate_key(starred, ["user_id", "customer_from"])
+    ).otherwise(F.col("given_customer_key"))
     valid_total = F.col("quantity") * F.col("valid_price")
-    priced = priced.withColumns(
+    return starred.withColumns(
         {
+            "order_item_key": item_key,
+            "customer_key": customer_key,
             "unit_price": F.when(own, F.col("own_price")).otherwise(F.col("valid_price")),
             "total_price": F.when(own, F.col("own_total")).otherwise(valid_total),
+            "run_id": F.lit(None).cast("string"),
         }
-    ).drop("own_price", "own_total", "valid_price")
-    keyed = asof_left(
-        priced, customers, "user_id", "order_date",
-        {"customer_key": "customer_key"}, hot_keys=hot_customers,
-    )
-    starred = date_key_join(keyed, dates, "order_date")
-    item_key = F.when(own, surrogate_key(starred, ["order_item_id"])).otherwise(
-        surrogate_key(starred, ["order_id", "product_id"])
-    )
-    return starred.withColumns(
-        {"order_item_key": item_key, "run_id": F.lit(None).cast("string")}
     ).select(*FACT_COLUMNS)

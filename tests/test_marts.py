@@ -13,7 +13,7 @@ from cartloom.operators.aggregates import (
     units_by_category_month,
 )
 from cartloom.operators.unions import union_sources
-from cartloom.plans.marts import FACT_COLUMNS, build_fact, dim_customer, dim_date, dim_product
+from cartloom.plans.marts import FACT_COLUMNS, _late_keyed, build_fact, dim_customer, dim_date, dim_product
 from cartloom.schemas import SEED_ORDER_ITEMS
 from cartloom.sources.seed_csv import read_seed, write_seed
 
@@ -198,3 +198,17 @@ def test_first_n_is_a_top_n(spark):
     top = first_n(spark.range(100).select((99 - F.col("id")).alias("k")), 3, "k")
     assert [r.k for r in top.collect()] == [0, 1, 2]
     assert "TakeOrderedAndProject" in plan(top)
+
+
+def test_keys_that_are_no_hash_are_kept(spark, star):
+    """Dimensions may bring keys of their own, or none, or numbers of another type than the lines."""
+    products, customers, dates = star
+    lines = carts(spark, (100, 7, "2024-03-01T00:00:00Z", 1, 2), (101, 8, "2024-03-01T00:00:00Z", 1, 2))
+    assert _late_keyed(customers, lines, "customer_key", "user_id").filter("__given_key IS NOT NULL").isEmpty()
+    own = customers.withColumn("customer_key", F.expr("if(user_id = 7, 'C7', NULL)"))
+    got = by_order(build_fact(lines, seed(spark), products, own, dates))
+    assert (got[100].customer_key, got[101].customer_key) == ("C7", None)
+    texts = customers.withColumn("user_id", F.concat(F.lit("0"), "user_id"))
+    got = by_order(build_fact(lines, seed(spark), products, texts, dates))
+    expected = dict(rows(texts, F.col("user_id").cast("int"), "customer_key"))
+    assert (got[100].customer_key, got[101].customer_key) == (expected[7], expected[8])
