@@ -4,7 +4,8 @@ Files are read once, as fragments that end at a closing brace, which splits any
 net depth and quotes, for a start outside and inside a text, in the shared scratch folder. One pass sums up each block, so that the
 state at the start of every block follows from the blocks before it. A second pass counts depth from there and cuts pieces
 where it comes back to one; these are kept too, and the elements that cross a block's end are put together from them.
-Both passes number fragments within a block only.
+Both passes number fragments within a block only, and a block ends after ``BLOCK`` fragments, so that what a task
+holds at once does not follow the size of a split.
 """
 
 from __future__ import annotations
@@ -20,6 +21,9 @@ from ..operators.bronze import RECORD
 from ..session import kept
 
 _END = "end of the text, read by cartloom"
+# Fragments of a block at most. Windows hold a whole block, several times over and many times as large as its text.
+BLOCK = 1 << 16
+_BLOCK = ("_file", "_split", "_part")
 ARRAY, OBJECT, LINES, BROKEN = "array", "object", "lines", "broken"
 
 
@@ -66,10 +70,12 @@ def _fragments(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     raw = spark.read.format("text").option("lineSep", "}").load(_loadable(paths))
     rows = raw.select(
         F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
+        F.col("_metadata.file_block_start").alias("_split"),
         F.monotonically_increasing_id().alias("_nth"),
         "value",
     )
+    # Fragments of a split are numbered in the low 33 bits.
+    rows = rows.withColumn("_part", F.floor(F.col("_nth").bitwiseAND((1 << 33) - 1) / F.lit(BLOCK)))
     bare = F.regexp_replace("value", r"(?s)\\.", "")
     texts = r'"[^"]*(?:"|$)'
     rows = rows.withColumns(
@@ -89,14 +95,14 @@ def _fragments(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     closes = F.col("plain").rlike(r"\]\s*$") & tail.rlike(r"^\s*\[?[^\[\]{}]*\]\s*$")
     torn = lambda c: F.col(c).rlike(r"\]\s*[\[{]")  # no comma between two values
     return rows.select(
-        "_file", "_block", "_nth", "value", "quotes", "outside", "inside", closes.alias("closes"),
+        "_file", "_split", "_part", "_nth", "value", "quotes", "outside", "inside", closes.alias("closes"),
         torn("plain").alias("torn_plain"), torn("resumed").alias("torn_resumed"),
         F.regexp_extract("value", r"^\s*(\S)", 1).alias("first"),
     )
 
 
 def _in_block() -> WindowSpec:
-    return Window.partitionBy("_file", "_block").orderBy("_nth")
+    return Window.partitionBy(*_BLOCK).orderBy("_nth")
 
 
 def _before(c: str, window: WindowSpec | None = None) -> Column:
@@ -105,56 +111,67 @@ def _before(c: str, window: WindowSpec | None = None) -> Column:
     return F.coalesce(F.sum(c).over(window), F.lit(0))
 
 
+def _followed(rows: DataFrame, states: DataFrame) -> DataFrame:
+    """Fragments of the blocks in ``states``: ``odd`` where one starts inside a text, and the depth ``after`` it."""
+    states = states.select(*_BLOCK, "_block", F.col("inside").alias("in_text"), "depth")
+    rows = rows.join(states, [*_BLOCK])
+    rows = rows.withColumn("odd", (F.col("in_text") + _before("quotes")) % 2)
+    rows = rows.withColumn("net", F.when(F.col("odd") == 0, F.col("outside")).otherwise(F.col("inside")))
+    return rows.withColumn("after", F.col("depth") + F.sum("net").over(_in_block()))
+
+
 def _blocks(rows: DataFrame) -> DataFrame:
-    """One row a block of fragments: ``_file, _block, inside, depth, layout``; the state at its start and the layout of its file."""
-    rows = rows.drop("value").withColumn("odd", _before("quotes") % 2)
+    """One row a block of fragments: its names, ``_block, inside, depth, layout``; its first byte, the state there and the layout of its file."""
+    all_rows = rows.select(*_BLOCK, "_nth", "quotes", "outside", "inside")
+    rows = rows.withColumn("bytes", F.octet_length("value") + 1).drop("value").withColumn("odd", _before("quotes") % 2)
     from_out = F.when(F.col("odd") == 0, F.col("outside")).otherwise(F.col("inside"))
     from_in = F.when(F.col("odd") == 0, F.col("inside")).otherwise(F.col("outside"))
     torn_out = F.when(F.col("odd") == 0, F.col("torn_plain")).otherwise(F.col("torn_resumed"))
     torn_in = F.when(F.col("odd") == 0, F.col("torn_resumed")).otherwise(F.col("torn_plain"))
     rows = rows.withColumns({"from_out": from_out, "from_in": from_in, "torn_out": torn_out, "torn_in": torn_in})
-    rows = rows.withColumn("at", F.sum("from_out").over(_in_block()))
-    top = (F.col("at") == 0) & ((F.col("odd") + F.col("quotes")) % 2 == 0)
-    blocks = rows.groupBy("_file", "_block").agg(
+    blocks = rows.groupBy(*_BLOCK).agg(
+        F.sum("bytes").alias("bytes"),
         F.sum("quotes").alias("quotes"),
         F.sum("from_out").alias("from_out"),
         F.sum("from_in").alias("from_in"),
-        F.count_if(top).alias("tops"),
         F.max_by("closes", "_nth").alias("closes"),
         F.max("torn_out").alias("torn_out"),
         F.max("torn_in").alias("torn_in"),
         F.min_by("first", F.when(F.col("first") != "", F.col("_nth"))).alias("first"),
     )
-    in_file = Window.partitionBy("_file").orderBy("_block")
+    in_file = Window.partitionBy("_file").orderBy("_split", "_part")
+    blocks = blocks.withColumn("_block", _before("bytes", in_file))
     blocks = blocks.withColumn("inside", (_before("quotes", in_file) % 2).cast("int"))
     blocks = blocks.withColumn("net", F.when(F.col("inside") == 0, F.col("from_out")).otherwise(F.col("from_in")))
     blocks = blocks.withColumn("depth", _before("net", in_file))
     files = blocks.groupBy("_file").agg(
         F.sum("net").alias("total"),
-        F.count("*").alias("n"),
-        F.sum("tops").alias("tops"),
+        (F.min("_split") == F.max("_split")).alias("one"),
         F.max_by("closes", "_block").alias("closes"),
         F.max(F.when(F.col("inside") == 0, F.col("torn_out")).otherwise(F.col("torn_in"))).alias("torn"),
         F.min_by("first", F.when(F.col("first") != "", F.col("_block"))).alias("first"),
     )
     # The brace assumed after the last fragment takes the depth of a whole array to -1.
     whole = F.when((F.col("total") == -1) & F.col("closes") & ~F.col("torn"), ARRAY).otherwise(BROKEN)
-    layout = F.when(F.col("first") == "[", whole).when((F.col("n") == 1) & (F.col("tops") == 1) & (F.col("total") <= 0), OBJECT).otherwise(LINES)
-    return blocks.join(files.select("_file", layout.alias("layout")), "_file").select("_file", "_block", "inside", "depth", "layout")
+    layout = F.when(F.col("first") == "[", whole).when(F.col("one") & (F.col("total") <= 0), OBJECT).otherwise(LINES)
+    blocks = kept(blocks.join(files.select("_file", layout.alias("layout")), "_file").select(*_BLOCK, "_block", "inside", "depth", "layout"))
+    # One object comes back to depth zero once, which is counted where a file could be one.
+    followed = _followed(all_rows, blocks.where(F.col("layout") == OBJECT))
+    top = (F.col("after") == 0) & ((F.col("odd") + F.col("quotes")) % 2 == 0)
+    tops = followed.groupBy("_file").agg(F.count_if(top).alias("tops"))
+    layout = F.when((F.col("layout") == OBJECT) & (F.col("tops") != 1), LINES).otherwise(F.col("layout"))
+    return blocks.join(tops, "_file", "left").withColumn("layout", layout).drop("tops")
 
 
 def _array_records(rows: DataFrame, blocks: DataFrame) -> DataFrame:
     """Records of whole arrays, from the fragments and blocks of all files."""
-    states = blocks.where(F.col("layout") == ARRAY).select("_file", "_block", F.col("inside").alias("in_text"), "depth")
-    rows = rows.select("_file", "_block", "_nth", "value", "quotes", "outside", "inside").join(states, ["_file", "_block"])
-    rows = rows.withColumn("odd", (F.col("in_text") + _before("quotes")) % 2)
-    rows = rows.withColumn("net", F.when(F.col("odd") == 0, F.col("outside")).otherwise(F.col("inside")))
-    rows = rows.withColumn("after", F.col("depth") + F.sum("net").over(_in_block()))
+    rows = rows.select(*_BLOCK, "_nth", "value", "quotes", "outside", "inside")
+    rows = _followed(rows, blocks.where(F.col("layout") == ARRAY))
     ends = ((F.col("odd") + F.col("quotes")) % 2 == 0) & (F.col("after") == 1)
     rows = rows.withColumn("ends", ends.cast("int")).withColumn("piece", _before("ends"))
     goes_on = (F.col("_block") > 0) & (F.col("piece") == 0) & ~((F.col("in_text") == 0) & (F.col("depth") == 1))
     text = F.concat_ws("}", F.transform(F.array_sort(F.collect_list(F.struct("_nth", "value"))), lambda x: x["value"]))
-    pieces = rows.groupBy("_file", "_block", "piece").agg(
+    pieces = rows.groupBy(*_BLOCK, "_block", "piece").agg(
         text.alias("text"), (F.max("ends") == 1).alias("closed"), F.max(goes_on.cast("int")).alias("goes_on")
     )
     pieces = kept(pieces.withColumn("text", F.when(F.col("closed"), F.concat("text", F.lit("}"))).otherwise(F.col("text"))))

@@ -71,6 +71,31 @@ def test_arrays_are_cut_into_elements(spark, conf, tmp_path, block):
         assert json_scan._fragments(spark, [str(tmp_path / "2.json")]).rdd.getNumPartitions() > 3
 
 
+@pytest.mark.parametrize("most", [1, 7])
+def test_a_block_holds_few_fragments_of_a_split(spark, monkeypatch, tmp_path, most):
+    """What a task holds at once follows the block, so a block must not follow the size of a split."""
+    monkeypatch.setattr(json_scan, "BLOCK", most, raising=False)
+    rng = random.Random(most)
+    elements = [{"id": i, "v": value(rng), "w": [[{"a": i}], i]} for i in range(60)]
+    one = {"id": 1, "v": ["}", {"a": {}}, {}] * 9}
+    texts = {
+        "a.json": json.dumps(elements, indent=1), "b.json": json.dumps(elements, ensure_ascii=False),
+        "one.json": json.dumps(one, indent=1), "lines.json": "\n".join(map(json.dumps, elements[:9])),
+    }
+    for name, text in texts.items():
+        (tmp_path / name).write_text(text)
+    files = [r[0] for r in listed_files(spark.read, str(tmp_path)).collect()]
+    rows_ = json_scan._fragments(spark, files)
+    blocks = rows_.groupBy("_file", *[c for c in rows_.columns if c in ("_block", "_split", "_part")]).count()
+    assert blocks.agg(F.max("count")).first()[0] <= most
+    got = found(spark, tmp_path)
+    lines = got.pop("lines.json")  # lines carry no order
+    assert sorted(lines, key=lambda r: r["id"]) == elements[:9]
+    assert got == {"a.json": elements, "b.json": elements, "one.json": [one]}
+    tags = scan_files(spark, files).groupBy("_file", "_row_tag").count()
+    assert tags.filter("count > 1").isEmpty()
+
+
 @pytest.mark.parametrize(
     "text",
     ['[{"id": 1}, {"id": ', '[{"id":1}] junk', '[{"id":1}]{"id":2}', '[{"id":1}][{"id":2}]', '[{"id":1}', "[", '[{"id":1}}]'],
